@@ -93,14 +93,14 @@ class Tables:
         ).select(
             F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("date"),
             F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("type"),
-            F.col("c_nationkey").alias("zone"),
+            F.col("c_nationkey").cast("bigint").alias("zone"),
         )
 
     def sales_month(self) -> DataFrame:
         """Zone by month: mean price, count; month number = year * 12 + month - 1."""
         return (
             self.sales()
-            .groupBy("zone", (F.year("date") * 12 + F.month("date") - 1).alias("m"))
+            .groupBy("zone", (F.year("date") * 12 + F.month("date") - 1).cast("bigint").alias("m"))
             .agg(F.avg("price").alias("price"), F.count(F.lit(1)).alias("n"))
         )
 
@@ -212,7 +212,7 @@ BINDING_SQL = {
         l_quantity AS qty, l_extendedprice AS price, l_discount AS disc, l_tax AS tax FROM lineitem)""",
     "mach_scored": f"SELECT *, rul + ({h31('machine * 100003 + cycle', 1)} % 61) - 30 AS pred FROM mach",
     "sales": """SELECT o_orderkey AS id, o_orderdate AS date, o_totalprice AS price,
-      o_orderpriority AS type, c_nationkey AS zone
+      o_orderpriority AS type, CAST(c_nationkey AS BIGINT) AS zone
       FROM orders JOIN customer ON o_custkey = c_custkey""",
     "sales_month": """SELECT zone, year(date) * 12 + month(date) - 1 AS m, avg(price) AS price,
       count(*) AS n FROM sales GROUP BY 1, 2""",

@@ -243,10 +243,10 @@ def cln_null_profile(t):
     return out(clean.null_shares(t.feat(masked=True), FEATURES))
 
 
-@query("cln_sentinel_null", "SELECT p_partkey, CAST(nullif(p_size % 10, 0) AS BIGINT) AS size FROM part")
+@query("cln_sentinel_null", "SELECT p_partkey, CAST(nullif(p_size % 10, 0) AS DOUBLE) AS size FROM part")
 def cln_sentinel_null(t):
     size = F.nullif(F.col("p_size") % 10, F.lit(0))
-    return out(t.part.select("p_partkey", size.alias("size")))
+    return out(t.part.select("p_partkey", size.cast("double").alias("size")))
 
 
 @query("cln_clip", "SELECT event_id, least(greatest(value, 5.0), 200.0) AS value FROM ser")
@@ -277,7 +277,7 @@ def cln_iqr_removed(t):
 @query(
     "cln_relative_values",
     f"""SELECT zone, pop, {rnd('pct / 100')} AS pctBuilding, {rnd('orders / (pop / 100000.0)', 4)} AS numUrgent FROM (
-        SELECT c_nationkey AS zone, count(*) AS pop, 100.0 * avg(CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END) AS pct
+        SELECT CAST(c_nationkey AS BIGINT) AS zone, count(*) AS pop, 100.0 * avg(CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END) AS pct
         FROM customer GROUP BY 1) JOIN (SELECT c_nationkey AS z2, count(*) AS orders FROM orders JOIN customer
         ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON zone = z2""",
 )
