@@ -235,7 +235,7 @@ BINDING_SQL = {
       SELECT o_orderkey AS id, o_totalprice / 1000.0 AS actual, {h31("o_orderkey", 3)} AS noise,
         CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, o_orderpriority AS grp FROM orders)""",
     "signal": "SELECT epoch_us(ts) AS t, event_id, value AS signal FROM events",
-    "windows": f'SELECT * FROM (VALUES {_WINDOW_ROWS}) w(pos, "begin", "end", label)',
+    "windows": f'SELECT CAST(pos AS BIGINT) AS pos, "begin", "end", label FROM (VALUES {_WINDOW_ROWS}) w(pos, "begin", "end", label)',
 }
 
 

@@ -1,4 +1,4 @@
 """Imports every query module and exposes the registry."""
 
-from . import q_aggregates, q_fill, q_sources, q_windows  # noqa: F401
+from . import q_aggregates, q_alarms, q_density, q_fill, q_scale, q_sources, q_windows  # noqa: F401
 from .registry import oracle_queries, spark_queries  # noqa: F401

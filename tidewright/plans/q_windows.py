@@ -185,12 +185,12 @@ def win_ewm(t):
 
 
 def hazard():
-    return (F.pmod(hash31("id", 9), F.lit(100)) + 1) / 400.0
+    return (F.pmod(hash31("id", 9), F.lit(100)) + 1) / 401.0
 
 
 @query(
     "win_cumprod_survival",
-    f"""WITH s AS (SELECT o_custkey AS machine, o_orderkey AS id, (({h31('o_orderkey', 9)}) % 100 + 1) / 400.0 AS hz,
+    f"""WITH s AS (SELECT o_custkey AS machine, o_orderkey AS id, (({h31('o_orderkey', 9)}) % 100 + 1) / 401.0 AS hz,
           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos FROM orders)
         SELECT machine, id, {rnd('exp(sum(ln(1 - hz)) OVER (PARTITION BY machine, (pos - 1) // 8 ORDER BY pos))', 9)} AS survival FROM s""",
 )
