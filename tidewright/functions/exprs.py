@@ -28,7 +28,7 @@ def timestamp_of(c: str | Column) -> Column:
 def idiv(a: str | Column, n: int) -> Column:
     """Floor division of a bigint by a positive constant (also for negatives)."""
     a = col(a)
-    return ((a - F.pmod(a, F.lit(n))) / F.lit(n)).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, F.lit(n)), F.lit(n))
 
 
 def rounded(c: str | Column, digits: int = 6) -> Column:

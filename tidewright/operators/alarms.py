@@ -291,24 +291,28 @@ def confusion(df: DataFrame, label: str, pred: Column) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, cells: int = 1024) -> DataFrame:
+def roc_auc(
+    df: DataFrame, label: str, score: str, key: Sequence[str] = (), cells: int = 1024
+) -> DataFrame:
     """Rank AUC with ties at half. Rows collapse to (distinct score, negatives, positives);
     negatives below each score come from running sums cell by cell."""
+    key = list(key) or ["_all"]
+    if key == ["_all"]:
+        df = df.withColumn("_all", F.lit(1))
     pos = F.sum(F.when(F.col(label) != 0, 1).otherwise(0))
-    per = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    per = df.groupBy(*key, F.col(score).cast("double").alias("s")).agg(
         pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg")
     )
-    span = scalar_row(df.agg(F.min(score).cast("double").alias("lo"), F.max(score).cast("double").alias("hi")))
-    per = per.withColumn("_s", span)
-    width = F.nullif(F.col("_s.hi") - F.col("_s.lo"), F.lit(0.0))
-    cell = F.coalesce(F.floor((F.col("s") - F.col("_s.lo")) / width * cells), F.lit(0)).cast("bigint")
-    per = per.withColumn("_k", F.lit(1)).withColumn("_cell", cell).drop("_s")
-    ranked = running_sum(per, ["_k"], ["s"], [F.col("_cell")], {"neg": "_below"}, exclusive=True)
+    span = df.groupBy(*key).agg(F.min(score).cast("double").alias("_lo"), F.max(score).cast("double").alias("_hi"))
+    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    cell = F.coalesce(F.floor((F.col("s") - F.col("_lo")) / width * cells), F.lit(0)).cast("bigint")
+    per = per.join(span, key).withColumn("_cell", cell)
+    ranked = running_sum(per, key, ["s"], [F.col("_cell")], {"neg": "_below"}, exclusive=True)
     wins = F.sum((F.col("_below") + F.col("neg") / 2.0) * F.col("pos"))
-    return ranked.agg(
+    return ranked.groupBy(*key).agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
         F.try_divide(wins, (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
-    )
+    ).drop("_all")
 
 
 def prediction_spread(df: DataFrame, actual: Column, pred: str) -> DataFrame:

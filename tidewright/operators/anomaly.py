@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -165,11 +166,9 @@ def isolation_scores(
     forest = [_grow(x[i * size : (i + 1) * size], limit, rng) for i in range(trees)]
     norm = _average_path(size) or 1.0
 
-    import pandas as pd
-
     @F.pandas_udf("double")
-    def score(*parts: pd.Series) -> pd.Series:
-        m = np.column_stack([p.to_numpy(dtype=float) for p in parts])
+    def score(part: pd.DataFrame) -> pd.Series:
+        m = part.to_numpy(dtype=float)
         total = np.zeros(len(m))
         for t in forest:
             at = np.zeros(len(m), dtype=int)
@@ -181,6 +180,6 @@ def isolation_scores(
             total += t["path"][at]
         return pd.Series(np.exp2(-total / len(forest) / norm))
 
-    scored = df.withColumn("score", score(*[F.col(c) for c in columns]))
+    scored = df.withColumn("score", score(F.struct(*columns)))
     cut = scalar_row(exact_quantiles(scored, [], "score", {"q": 1.0 - contamination}))["q"]
     return scored.withColumn("outlier", F.col("score") > cut)

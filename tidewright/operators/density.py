@@ -1,9 +1,9 @@
 """Kernel density scores.
 
-Both sides are reduced to distinct points first (training points with weights), packed
-into blocks of bounded size per slot, and matched by an equi join on the slot. A score is
-summed inside the row over the packed block, so no point pairs become rows; several
-blocks of one slot are combined in log space. Results are exact.
+Both sides are reduced to distinct points first (training points with weights) and cut into
+tiles of bounded size per slot. A task holds one tile of each side and sums the kernel in
+numpy, so no point pairs become rows and no slot has to fit into one task; the tiles of a
+point are combined in log space. Results are exact.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31
 from .quantiles import exact_quantiles
 
-BLOCK = 4096
+TILE = 4096
 KERNELS = ("gaussian", "tophat", "linear")
 
 
@@ -30,35 +32,32 @@ def bandwidth_rule(df: DataFrame, key: Sequence[str], value: str, out: str = "h"
     return j.select(*key, (0.9 * spread * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias(out))
 
 
-def _packed(train: DataFrame, slot: Sequence[str], point: str, block: int) -> DataFrame:
-    """Weighted distinct points per (slot, block) with the slot's total weight. Blocks are
-    hashed, so a slot of many points spreads over tasks."""
-    slot = list(slot)
-    pts = train.groupBy(*slot, point).agg(F.sum("w").alias("w"))
-    sizes = pts.groupBy(*slot).agg(F.count(F.lit(1)).alias("_m"), F.sum("w").alias("_total"))
-    blocks = F.ceil(F.col("_m") / block).cast("bigint")
-    spread = pts.join(sizes, slot).withColumn("_nb", blocks)
-    spread = spread.withColumn("_block", F.pmod(F.xxhash64(point), F.col("_nb")))
-    return spread.groupBy(*slot, "_nb", "_total", "_block").agg(
-        F.collect_list(F.struct(F.col(point).alias("x"), "w")).alias("_pts")
-    )
+def _tiles(df: DataFrame, slot: list[str], point: str, name: str, tile: int) -> DataFrame:
+    """Assign each distinct point of a slot to one of ``ceil(count / tile)`` hashed tiles."""
+    sizes = df.groupBy(*slot).agg(F.ceil(F.count(F.lit(1)) / tile).cast("bigint").alias(f"_n{name}"))
+    return df.join(sizes, slot).withColumn(name, F.pmod(F.xxhash64(point), F.col(f"_n{name}")))
 
 
-def _combine(scored: DataFrame, keys: list[str], kernel: str) -> DataFrame:
-    """Sum the per-block partial sums of one point (log-sum-exp for the Gaussian kernel)."""
-    if kernel != "gaussian":
-        return scored.groupBy(*keys, "_total").agg(F.log(F.nullif(F.sum("_s"), F.lit(0.0))).alias("_log"))
-    top = F.max("_top").over(Window.partitionBy(*keys))
-    return (
-        scored.withColumn("_m", top)
-        .groupBy(*keys, "_total")
-        .agg((F.max("_m") + F.log(F.sum(F.col("_s") * F.exp(F.col("_top") - F.col("_m"))))).alias("_log"))
-    )
+def _kernel_sums(x: np.ndarray, h: np.ndarray, p: np.ndarray, w: np.ndarray, kernel: str):
+    """Largest exponent and kernel sum of each evaluation point over the tile's points."""
+    top, total = np.zeros(len(x)), np.zeros(len(x))
+    step = max(1, (1 << 20) // max(1, p.size))
+    for i in range(0, len(x), step):
+        part = slice(i, i + step)
+        d2 = ((x[part, None, :] - p[None, :, :]) ** 2).sum(axis=2) / (h[part, None] ** 2)
+        if kernel == "gaussian":
+            top[part] = -0.5 * d2.min(axis=1)
+            total[part] = np.exp(-0.5 * d2 - top[part, None]) @ w
+        elif kernel == "tophat":
+            total[part] = (d2 < 1).astype(float) @ w
+        else:
+            total[part] = np.maximum(0.0, 1.0 - np.sqrt(d2)) @ w
+    return top, total
 
 
 def kde_scores(
     train: DataFrame, points: DataFrame, slot: Sequence[str], value: str, bandwidth: str | float,
-    kernel: str = "gaussian", dims: int | None = None, out: str = "signal", block: int = BLOCK,
+    kernel: str = "gaussian", dims: int | None = None, out: str = "signal", tile: int = TILE,
 ) -> DataFrame:
     """Negative log density of the distinct points of each slot.
 
@@ -66,48 +65,58 @@ def kde_scores(
     ``value`` and, when ``bandwidth`` names a column, the bandwidth. ``value`` is a number,
     or an array of ``dims`` numbers. A zero density gives a null signal.
     """
+    if kernel not in KERNELS or (dims is not None and kernel != "gaussian"):
+        raise ValueError(f"kernel {kernel!r} is not available for this input")
     slot = list(slot)
     h = F.col(bandwidth) if isinstance(bandwidth, str) else F.lit(float(bandwidth))
-    carried = [bandwidth] if isinstance(bandwidth, str) else []
-    evals = points.select(*slot, value, *carried).distinct()
-    j = evals.join(_packed(train, slot, value, block), slot)
-    d = dims or 1
-
-    def dist2(p: Column) -> Column:
-        if dims is None:
-            z = (F.col(value) - p) / F.col("_h")
-            return z * z
-        parts = F.zip_with(F.col(value), p, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / (F.col("_h") * F.col("_h"))
-
-    j = j.withColumn("_h", h)
-    if kernel == "gaussian":
-        j = j.withColumn("_top", -0.5 * F.array_min(F.transform("_pts", lambda p: dist2(p["x"]))))
-        j = j.withColumn(
-            "_s",
-            F.aggregate(
-                "_pts", F.lit(0.0),
-                lambda s, p: s + p["w"] * F.exp(-0.5 * dist2(p["x"]) - F.col("_top")),
-            ),
-        )
-        log_norm = F.lit(d * 0.5 * math.log(2 * math.pi)) + d * F.log("_h")
-    else:
-        if dims is not None:
-            raise ValueError("tophat and linear kernels are one-dimensional here")
-
-        def weight(p):
-            a = F.sqrt(dist2(p))
-            inside = F.when(a < 1, F.lit(1.0) if kernel == "tophat" else 1 - a)
-            return F.coalesce(inside, F.lit(0.0))
-
-        j = j.withColumn(
-            "_s", F.aggregate("_pts", F.lit(0.0), lambda s, p: s + p["w"] * weight(p["x"]))
-        )
-        log_norm = F.log("_h") + F.lit(math.log(2.0) if kernel == "tophat" else 0.0)
+    pts = train.groupBy(*slot, value).agg(F.sum("w").cast("double").alias("w"))
+    totals = pts.groupBy(*slot).agg(F.sum("w").alias("_total"))
+    evals = points.select(*slot, value, h.alias("_h")).distinct()
+    pts = _tiles(pts, slot, value, "_tp", tile)
+    evals = _tiles(evals, slot, value, "_te", tile)
+    # Each side meets every tile of the other side of its slot.
+    n_pts = pts.select(*slot, "_n_tp").distinct()
+    n_evals = evals.select(*slot, "_n_te").distinct()
+    pts = pts.join(n_evals, slot).withColumn("_te", F.explode(F.sequence(F.lit(0), F.col("_n_te") - 1)))
+    evals = evals.join(n_pts, slot).withColumn("_tp", F.explode(F.sequence(F.lit(0), F.col("_n_tp") - 1)))
     keys = [*slot, value, "_h"]
-    total = _combine(j, keys, kernel)
-    signal = -(F.col("_log") - F.log(F.col("_total").cast("double")) - log_norm)
-    return total.select(*slot, value, *([F.col("_h").alias(bandwidth)] if carried else []), signal.alias(out))
+    evals = evals.select(*keys, F.col("_te").cast("bigint"), F.col("_tp").cast("bigint"))
+    # Fresh names on one side: both sides may come from the same table.
+    slot_p = [f"_slot{i}" for i in range(len(slot))]
+    pts = pts.select(
+        *[F.col(c).alias(n) for c, n in zip(slot, slot_p)], F.col(value).alias("_p"), F.col("w").alias("_w"),
+        F.col("_te").cast("bigint").alias("_te2"), F.col("_tp").cast("bigint").alias("_tp2"),
+    )
+
+    def as_matrix(c: pd.Series) -> np.ndarray:
+        return np.stack(c.to_list()).astype(float) if dims else c.to_numpy(dtype=float)[:, None]
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return left[keys].assign(_top=0.0, _s=0.0).iloc[:0]
+        top, total = _kernel_sums(
+            as_matrix(left[value]), left["_h"].to_numpy(), as_matrix(right["_p"]),
+            right["_w"].to_numpy(), kernel,
+        )
+        return left[keys].assign(_top=top, _s=total)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in evals.select(*keys).schema.fields)
+    sums = (
+        evals.groupBy(*slot, "_te", "_tp").cogroup(pts.groupBy(*slot_p, "_te2", "_tp2"))
+        .applyInPandas(score, f"{schema}, _top double, _s double")
+    )
+    top = F.max("_top")
+    parts = F.collect_list(F.struct("_top", "_s"))
+    merged = sums.groupBy(*keys).agg(top.alias("_m"), parts.alias("_parts"))
+    total = F.aggregate(
+        "_parts", F.lit(0.0), lambda s, q: s + q["_s"] * F.exp(q["_top"] - F.col("_m"))
+    )
+    d = dims or 1
+    per_dim = {"gaussian": 0.5 * math.log(2 * math.pi), "tophat": math.log(2.0), "linear": 0.0}[kernel]
+    log_density = F.col("_m") + F.log(F.nullif(total, F.lit(0.0))) - F.log("_total")
+    signal = -(log_density - d * F.log("_h") - F.lit(d * per_dim))
+    named = [F.col("_h").alias(bandwidth)] if isinstance(bandwidth, str) else []
+    return merged.join(totals, slot).select(*slot, value, *named, signal.alias(out))
 
 
 def kde_signal(
