@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31
+from ..session import settle
 from .quantiles import exact_quantiles
 
 TILE = 4096
@@ -32,12 +33,6 @@ def bandwidth_rule(df: DataFrame, key: Sequence[str], value: str, out: str = "h"
     return j.select(*key, (0.9 * spread * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias(out))
 
 
-def _tiles(df: DataFrame, slot: list[str], point: str, name: str, tile: int) -> DataFrame:
-    """Assign each distinct point of a slot to one of ``ceil(count / tile)`` hashed tiles."""
-    sizes = df.groupBy(*slot).agg(F.ceil(F.count(F.lit(1)) / tile).cast("bigint").alias(f"_n{name}"))
-    return df.join(sizes, slot).withColumn(name, F.pmod(F.xxhash64(point), F.col(f"_n{name}")))
-
-
 def _kernel_sums(x: np.ndarray, h: np.ndarray, p: np.ndarray, w: np.ndarray, kernel: str):
     """Largest exponent and kernel sum of each evaluation point over the tile's points."""
     top, total = np.zeros(len(x)), np.zeros(len(x))
@@ -69,23 +64,31 @@ def kde_scores(
         raise ValueError(f"kernel {kernel!r} is not available for this input")
     slot = list(slot)
     h = F.col(bandwidth) if isinstance(bandwidth, str) else F.lit(float(bandwidth))
-    pts = train.groupBy(*slot, value).agg(F.sum("w").cast("double").alias("w"))
-    totals = pts.groupBy(*slot).agg(F.sum("w").alias("_total"))
-    evals = points.select(*slot, value, h.alias("_h")).distinct()
-    pts = _tiles(pts, slot, value, "_tp", tile)
-    evals = _tiles(evals, slot, value, "_te", tile)
-    # Each side meets every tile of the other side of its slot.
-    n_pts = pts.select(*slot, "_n_tp").distinct()
-    n_evals = evals.select(*slot, "_n_te").distinct()
-    pts = pts.join(n_evals, slot).withColumn("_te", F.explode(F.sequence(F.lit(0), F.col("_n_te") - 1)))
-    evals = evals.join(n_pts, slot).withColumn("_tp", F.explode(F.sequence(F.lit(0), F.col("_n_tp") - 1)))
-    keys = [*slot, value, "_h"]
-    evals = evals.select(*keys, F.col("_te").cast("bigint"), F.col("_tp").cast("bigint"))
+    # Distinct points feed several branches below; they are computed once.
+    pts = settle(train.groupBy(*slot, value).agg(F.sum("w").cast("double").alias("w")), "kde-train")
+    evals = settle(points.select(*slot, value, h.alias("_h")).distinct(), "kde-points")
+
+    def tiles_needed(df: DataFrame, name: str, *more):
+        n = F.ceil(F.count(F.lit(1)) / tile).cast("bigint")
+        return df.groupBy(*slot).agg(n.alias(name), *more)
+
+    # Each side is hashed into its slot's tiles and meets every tile of the other side.
+    sizes = tiles_needed(evals, "_ne").join(
+        tiles_needed(pts, "_np", F.sum("w").alias("_total")), slot
+    )
+    def tile_of(n: str):
+        return F.pmod(F.xxhash64(value), F.col(n))
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    keys = [*slot, value, "_h", "_total"]
+    evals = evals.join(sizes, slot).select(*keys, tile_of("_ne").alias("_te"), every("_np").alias("_tp"))
     # Fresh names on one side: both sides may come from the same table.
     slot_p = [f"_slot{i}" for i in range(len(slot))]
-    pts = pts.select(
+    pts = pts.join(sizes, slot).select(
         *[F.col(c).alias(n) for c, n in zip(slot, slot_p)], F.col(value).alias("_p"), F.col("w").alias("_w"),
-        F.col("_te").cast("bigint").alias("_te2"), F.col("_tp").cast("bigint").alias("_tp2"),
+        tile_of("_np").alias("_tp2"), every("_ne").alias("_te2"),
     )
 
     def as_matrix(c: pd.Series) -> np.ndarray:
@@ -116,7 +119,7 @@ def kde_scores(
     log_density = F.col("_m") + F.log(F.nullif(total, F.lit(0.0))) - F.log("_total")
     signal = -(log_density - d * F.log("_h") - F.lit(d * per_dim))
     named = [F.col("_h").alias(bandwidth)] if isinstance(bandwidth, str) else []
-    return merged.join(totals, slot).select(*slot, value, *named, signal.alias(out))
+    return merged.select(*slot, value, *named, signal.alias(out))
 
 
 def kde_signal(

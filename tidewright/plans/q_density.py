@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import DAY, HOUR, idiv, micros
 from ..operators import alarms, anomaly, density, windows
+from ..session import settle
 from .bindings import FEATURES, TRAIN_END, h31, rnd
 from .q_sources import out
 from .registry import query
@@ -211,7 +212,8 @@ def hourly_signal(t):
     g = t.grid(total=True).select("key", (F.col("h") * HOUR).alias("t"), F.col("n").cast("double").alias("value"))
     past = g.where(F.col("t") < cut())
     rows = g.join(density.bandwidth_rule(past, ["key"], "value"), "key")
-    return density.kde_signal(train_points(past, ["key"]), rows, ["key"], "value", "h")
+    signal = density.kde_signal(train_points(past, ["key"]), rows, ["key"], "value", "h")
+    return settle(signal.select("t", "signal"), "signal")
 
 
 @query("flagship_alarm", _FLAG)

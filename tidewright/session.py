@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
@@ -36,3 +36,11 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
         base = tempfile.mkdtemp(prefix="tidewright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, tag: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back: its lineage ends
+    there, later uses do not compute it again, and it survives lost executors."""
+    path = scratch_dir(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.joins import interval_join
@@ -56,7 +57,7 @@ def drain_latest(stream: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
         .option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(keep).start()
     )
     q.awaitTermination()
-    table = spark.read.schema(stream.schema.add("_batch", "int")).parquet(f"{folder}/out/*")
+    table = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])).parquet(f"{folder}/out/*")
     newest = F.max_by(F.struct(*values), "_batch")
     return table.groupBy(*keys).agg(newest.alias("_v")).select(*keys, "_v.*")
 
