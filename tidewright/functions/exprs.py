@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +85,24 @@ def gauss_logpdf(x: str | Column, mean: str | Column, std: str | Column) -> Colu
     return -0.5 * z * z - F.log(col(std)) - F.lit(0.9189385332046727)
 
 
+ALL = "_all"  # key column of operators called without a key
+
+
+def keyed(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Give a frame without key columns the single key ``ALL``."""
+    return (df, list(key)) if key else (df.withColumn(ALL, F.lit(1)), [ALL])
+
+
+def attach(df: DataFrame, stats: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Bring per-key statistics to the rows: a join on the key, or a scalar row without one
+    (a join on a constant would be a cross join)."""
+    if list(key) != [ALL]:
+        return df.join(stats, list(key))
+    names = [c for c in stats.columns if c != ALL]
+    df = df.withColumn("_stats", scalar_row(stats.select(*names)))
+    return df.withColumns({c: F.col("_stats")[c] for c in names}).drop("_stats")
+
+
 def scalar_row(one: DataFrame) -> Column:
     """A one-row aggregate as an uncorrelated scalar subquery (a struct column): it runs
     once and its fields act as constants, so no join is needed to bring it to the rows."""

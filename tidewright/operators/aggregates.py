@@ -24,7 +24,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = scalar_row(df.agg(F.count(F.lit(1)).alias("n")))["n"]
+    return counts.withColumn("share", F.col("n") / total)
 
 
 def group_mean_top(df: DataFrame, by: str, value: str, k: int) -> DataFrame:

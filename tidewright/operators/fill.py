@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import idiv, scalar_row
-from ..session import scratch_dir
+from ..session import settle
 from .ordered import CHUNK_ROWS, framed, neighbours, positions
 from .quantiles import exact_quantiles
 
@@ -111,7 +111,7 @@ def fill_forward_then_median(
 
 
 def fill_knn(
-    df: DataFrame, target: str, coords: Sequence[str], k: int, out: str, radius: float = 0.5
+    df: DataFrame, target: str, coords: Sequence[str], k: int, out: str, radius: float | None = None
 ) -> DataFrame:
     """Mean of the k nearest donors on standardised coordinates, rounded, never negative.
 
@@ -119,40 +119,41 @@ def fill_knn(
     distinct coordinates. Donors tied at the k-th distance share the places that are left.
     Candidates come from an equi join on grid cells of side ``radius``; a query is settled
     when its k-th distance fits in the radius, the others are searched again with the
-    radius doubled. No pair outside neighbouring cells is formed and none is cut off.
+    radius doubled. The first radius is a quarter of the mean donor spacing, so dense
+    regions settle on few candidates and only sparse ones look further. No pair outside
+    neighbouring cells is formed and none is cut off.
     """
-    spark = df.sparkSession
     d = len(coords)
     stats = df.agg(*[F.stddev_pop(c).alias(c) for c in coords]).first()
     scaled = [f"_s{i}" for i in range(d)]
     base = df.withColumns({
         s: F.round(F.col(c) / F.lit((stats[c] or 0.0) or 1.0), 12) for s, c in zip(scaled, coords)
     })
-    donors = base.where(F.col(target).isNotNull()).groupBy(*scaled).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(target).alias("_sum")
-    )
-    queries = base.where(F.col(target).isNull()).select(*scaled).distinct()
-    reach = donors.agg(*[(F.max(s) - F.min(s)).alias(s) for s in scaled], F.sum("_n").alias("n")).first()
-    span = 2.0 * d * max([reach[s] or 0.0 for s in scaled] + [1.0])
-    need = min(k, reach["n"] or 0)
-    folder = scratch_dir(spark, "knn")
-    settled = []
-    r, step = radius, 0
-    pending = queries
-    while need > 0:
+    # Rows with a missing coordinate are neither donors nor filled.
+    known = base.na.drop(subset=scaled)
+    donors = settle(
+        known.where(F.col(target).isNotNull()).groupBy(*scaled)
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(target).alias("_sum")), "knn-donors",
+    )
+    queries = settle(known.where(F.col(target).isNull()).select(*scaled).distinct(), "knn-queries")
+    ends = donors.agg(
+        *[(F.max(s) - F.min(s)).alias(s) for s in scaled],
+        F.sum("_n").alias("n"), F.count(F.lit(1)).alias("points"),
+    ).first()
+    need = min(k, ends["n"] or 0)
+    if not need:
+        return df.withColumn(out, F.col(target))
+    widest = max([ends[s] or 0.0 for s in scaled] + [1e-6])
+    r = radius or widest * (need / ends["points"]) ** (1.0 / d) / 4.0
+    pending, settled = queries, []
+    while True:
         found = _ring_search(pending, donors, scaled, need, r)
         done = found.where((F.col("_got") >= need) & (F.col("_kth") <= r * r))
-        path = f"{folder}/step{step}"
-        done.select(*scaled, "_est").write.parquet(path)
-        settled.append(spark.read.parquet(path))
-        pending = queries
-        for part in settled:
-            pending = pending.join(part, scaled, "left_anti")
-        if pending.isEmpty() or r > span:
+        settled.append(settle(done.select(*scaled, "_est"), "knn-found"))
+        pending = settle(pending.join(settled[-1], scaled, "left_anti"), "knn-pending")
+        if pending.isEmpty():
             break
-        r, step = r * 2.0, step + 1
-    if not settled:
-        return df.withColumn(out, F.col(target))
+        r *= 2.0
     estimates = settled[0]
     for part in settled[1:]:
         estimates = estimates.unionByName(part)

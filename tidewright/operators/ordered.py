@@ -25,6 +25,15 @@ from ..functions.exprs import idiv
 CHUNK_ROWS = 1 << 16
 
 
+def time_cells(df: DataFrame, time: str, target: int = 1 << 20, widest: int = 3_600_000_000) -> int:
+    """Cell width for an integer time column so that a cell holds about ``target`` rows at
+    most, even if one key holds them all. One aggregate row reaches the driver."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi")).first()
+    if not r["n"]:
+        return widest
+    return max(1, min(widest, (r["hi"] - r["lo"] + 1) * target // r["n"]))
+
+
 def _named_cells(df: DataFrame, cells: Sequence[Column]) -> tuple[DataFrame, list[str]]:
     names = [f"_cell{i}" for i in range(len(cells))]
     return df.withColumns(dict(zip(names, cells))), names

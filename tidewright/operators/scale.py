@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import scalar_row
-from .ordered import framed
+from .ordered import framed, positions
 from .quantiles import exact_quantiles, melt
 
 
@@ -79,8 +79,10 @@ def onehot(
 
 def label_codes(df: DataFrame, column: str, out: str) -> DataFrame:
     """Codes 0.. in sorted level order; the level table is the distinct values only."""
-    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
-    codes = levels.withColumn(out, (F.row_number().over(Window.orderBy(column)) - 1).cast("bigint"))
+    levels = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_all", F.lit(1))
+    # A prefix is monotone in the text, so even very many levels are ordered cell by cell.
+    ranked = positions(levels, ["_all"], [column], [F.substring(column, 1, 4)], "_pos")
+    codes = ranked.select(column, (F.col("_pos") - 1).alias(out))
     return df.join(codes, column, "left")
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import HOUR, hash31, idiv, micros
-from ..operators.ordered import positions
+from ..operators.ordered import positions, time_cells
 from ..operators.resample import dense_grid
+from ..session import settle
 
 # Label windows [begin, end) with one label each. The third label lies on
 # its window's begin, so no alarm can come before it (the late case).
@@ -52,8 +53,9 @@ class Tables:
         )
 
     def ser_pos(self, masked: bool = False) -> DataFrame:
-        """SER with its position per key; hour cells keep one type out of one task."""
-        return positions(self.ser(masked), ["key"], ["t", "event_id"], [idiv("t", HOUR)])
+        """SER with its position per key; time cells keep one type out of one task."""
+        ser = self.ser(masked)
+        return positions(ser, ["key"], ["t", "event_id"], [idiv("t", time_cells(ser, "t"))])
 
     def grid(self, masked: bool = False, total: bool = False) -> DataFrame:
         """Dense hourly grid: key, h (hour number), pos, n (count), v (mean or null)."""
@@ -119,6 +121,10 @@ class Tables:
         before = F.lag("mean_price").over(Window.partitionBy("zone").orderBy("year"))
         return p.withColumn("label", F.when(F.col("mean_price") < before, 1).otherwise(0))
 
+    def feat_table(self, masked: bool = False) -> DataFrame:
+        """FEAT written once, for queries that pass over it several times."""
+        return settle(self.feat(masked), "feat")
+
     def feat(self, masked: bool = False) -> DataFrame:
         """Line features joined with part and order; y = 1 for finished orders."""
         line = self.lineitem

@@ -26,7 +26,7 @@ TYPES = ["click", "error", "purchase", "signup", "view"]
     ),
 )
 def agg_describe(t):
-    return out(agg.describe(t.feat(masked=True), FEATURES), 3)
+    return out(agg.describe(t.feat_table(masked=True), FEATURES), 3)
 
 
 @query(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import DAY, HOUR, hash31, idiv, micros
 from ..operators import alarms, joins
+from ..operators.ordered import time_cells
 from .bindings import h31, rnd
 from .q_sources import out
 from .registry import query
@@ -61,7 +62,8 @@ def join_asof(t):
         F.col("o_orderkey").alias("id"), mapping[F.col("o_orderpriority")].alias("key"),
         (origin + idiv(micros("o_orderdate") - start, 80)).alias("at_us"),
     )
-    j = joins.asof(o, t.ser(), ["key"], "at_us", "t", "event_id", "value", 6 * HOUR)
+    ser = t.ser()
+    j = joins.asof(o, ser, ["key"], "at_us", "t", "event_id", "value", time_cells(ser, "t", widest=6 * HOUR))
     return j.withColumn("matched_t", F.col("matched_t").cast("double"))
 
 

@@ -147,31 +147,32 @@ _GX = ["qty", "price", "retail"]
 
 @query("den_gmm")
 def den_gmm(t):
-    m = anomaly.fit_mixture(anomaly.assemble(t.feat(), _GX), "x", 3, seed=7)
-    return out(anomaly.mixture_density(anomaly.assemble(t.feat(), _GX), "x", m, len(_GX)).select(
+    x = anomaly.assemble(t.feat_table(), _GX)
+    m = anomaly.fit_mixture(x, "x", 3, seed=7)
+    return out(anomaly.mixture_density(x, "x", m, len(_GX)).select(
         "oid", "ln", "log_density", "component", "top_posterior"
     ))
 
 
 @query("den_gmm_select")
 def den_gmm_select(t):
-    return out(anomaly.select_components(anomaly.assemble(t.feat(), _GX), "x", [2, 3], len(_GX), "oid", 2, seed=7), 4)
+    return out(anomaly.select_components(anomaly.assemble(t.feat_table(), _GX), "x", [2, 3], len(_GX), "oid", 2, seed=7), 4)
 
 
 @query("ano_pca_gmm_outliers")
 def ano_pca_gmm_outliers(t):
-    return anomaly.pca_mixture_outliers(t.feat(), FEATURES, seed=3).select("oid", "ln", "outlier")
+    return anomaly.pca_mixture_outliers(t.feat_table(), FEATURES, seed=3).select("oid", "ln", "outlier")
 
 
 @query("ano_isolation")
 def ano_isolation(t):
-    s = anomaly.isolation_scores(t.feat(), ["qty", "price"], "oid", trees=25, sample=256, contamination=0.045, seed=5)
+    s = anomaly.isolation_scores(t.feat_table(), ["qty", "price"], "oid", trees=25, sample=256, contamination=0.045, seed=5)
     return out(s.select("oid", "ln", "score", "outlier"))
 
 
 @query("ano_reconstruction")
 def ano_reconstruction(t):
-    r = anomaly.reconstruction_errors(t.feat(), FEATURES, 3)
+    r = anomaly.reconstruction_errors(t.feat_table(), FEATURES, 3)
     return out(r.select("oid", "ln", "error", *[f"err_{c}" for c in FEATURES]))
 
 

@@ -71,7 +71,7 @@ def fill_polynomial(t):
         {rnd('coalesce(price, (SELECT quantile_cont(price, 0.5) FROM feat_masked))', 3)} AS price FROM feat_masked""",
 )
 def fill_column_stat(t):
-    f = fill.fill_column_stat(t.feat(masked=True).select("oid", "ln", "qty", "price"), ["qty"], ["price"])
+    f = fill.fill_column_stat(t.feat_table(masked=True).select("oid", "ln", "qty", "price"), ["qty"], ["price"])
     return out(f, 5, price=3)
 
 
@@ -97,13 +97,13 @@ def fill_key_forward_median(t):
        SELECT oid, ln, coalesce(qty, greatest(0, round(est))) AS filled FROM b LEFT JOIN e USING (disc, tax, psize)""",
 )
 def fill_knn(t):
-    f = t.feat(masked=True).select("oid", "ln", "qty", "disc", "tax", "psize")
+    f = t.feat_table(masked=True).select("oid", "ln", "qty", "disc", "tax", "psize")
     return fill.fill_knn(f, "qty", ["disc", "tax", "psize"], 5, "filled").select("oid", "ln", "filled")
 
 
 @query("fill_regression")
 def fill_regression(t):
-    f = t.feat(masked=True)
+    f = t.feat_table(masked=True)
     r = fill.fill_regression(f, "price", ["disc", "tax", "psize", "retail", "total"], 3, "filled")
     return out(r.select("oid", "ln", "filled"), 4)
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31, unit_hash
 from ..operators import alarms, models, relevance
+from ..session import settle
 from .bindings import FEATURES, rnd
 from .q_sources import features_long, out
 from .q_windows import sales_positions
@@ -16,7 +17,8 @@ WEIGHTS = {"qty": 2.1, "disc": -15.0, "tax": 4.0, "psize": 0.02, "retail": 0.05,
 def feat(t):
     """FEAT with an id from all columns: rows of equal id are equal, so ties do no harm."""
     f = t.feat()
-    return f.withColumn("id", F.xxhash64(*f.columns)).withColumn("kprice", F.col("price") / 1000.0)
+    f = f.withColumn("id", F.xxhash64(*f.columns)).withColumn("kprice", F.col("price") / 1000.0)
+    return settle(f, "feat")
 
 
 def halves(f, seed=51):

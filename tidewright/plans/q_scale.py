@@ -83,7 +83,7 @@ def scale_minmax_train(t):
 )
 def scale_robust(t):
     columns = ["qty", "price", "total"]
-    return out(scale.robust(t.feat().select("oid", "ln", *columns), columns), 5)
+    return out(scale.robust(t.feat_table().select("oid", "ln", *columns), columns), 5)
 
 
 @query(
