@@ -42,6 +42,7 @@ def exact_quantiles(
         rows = rows.join(wanted.select(*at), at, "left_semi")
         if most <= heavy:
             break
+        rows = settle(rows, "quantile-rows")
 
     counts = rows.groupBy(*at, "_x").agg(F.count(F.lit(1)).alias("_cx"))
     order = Window.partitionBy(*at).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
