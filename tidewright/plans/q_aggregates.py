@@ -153,7 +153,18 @@ def agg_hist2d(t):
     ),
 )
 def agg_corr_matrix(t):
-    return out(agg.correlation_long(t.feat(), FEATURES))
+    return out(agg.correlation_long(t.feat(), FEATURES, complete=True))
+
+
+@query(
+    "agg_corr_pairwise",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, {rnd(f'corr({a}, {b})')} AS r FROM feat_masked"
+        for a, b in (("qty", "price"), ("qty", "total"), ("price", "total"))
+    ),
+)
+def agg_corr_pairwise(t):
+    return out(agg.correlation_long(t.feat(masked=True), ["qty", "price", "total"]))
 
 
 _DOW = "(((h // 24) + 3) % 7)"

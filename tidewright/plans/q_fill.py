@@ -60,7 +60,24 @@ def fill_nearest(t):
     return out(f.select("key", "h", "v_nearest"))
 
 
-@query("fill_polynomial")
+_THIRD_P = "CASE WHEN a.bp IS NOT NULL AND (b.ap IS NULL OR n.pos - a.bp <= b.ap - n.pos) THEN a.bp ELSE b.ap END"
+_THIRD_V = _THIRD_P.replace("THEN a.bp ELSE b.ap", "THEN a.bv ELSE b.av")
+_QUAD = (
+    "CASE WHEN v IS NOT NULL THEN v WHEN x1 IS NULL OR x2 IS NULL THEN NULL "
+    "WHEN x3 IS NULL THEN y1 + (y2 - y1) * (x - x1) / (x2 - x1) "
+    "ELSE y1 * (x - x2) * (x - x3) / ((x1 - x2) * (x1 - x3)) + y2 * (x - x1) * (x - x3) / ((x2 - x1) * (x2 - x3)) "
+    "+ y3 * (x - x1) * (x - x2) / ((x3 - x1) * (x3 - x2)) END"
+)
+
+
+@query(
+    "fill_polynomial",
+    f"""WITH {neighbours_sql()}, vr AS (SELECT key, pos, v, lag(pos) OVER w AS bp, lag(v) OVER w AS bv, lead(pos) OVER w AS ap, lead(v) OVER w AS av
+          FROM grid_masked WHERE v IS NOT NULL WINDOW w AS (PARTITION BY key ORDER BY pos)),
+        j AS (SELECT n.key, n.h, n.v, n.pos::DOUBLE AS x, n.pp::DOUBLE AS x1, n.pv AS y1, n.np::DOUBLE AS x2, n.nv AS y2, ({_THIRD_P})::DOUBLE AS x3, {_THIRD_V} AS y3
+          FROM nb n LEFT JOIN vr a ON a.key = n.key AND a.pos = n.pp LEFT JOIN vr b ON b.key = n.key AND b.pos = n.np)
+        SELECT key, h, {rnd(_QUAD)} AS v_quad FROM j""",
+)
 def fill_polynomial(t):
     return out(fill.fill_quadratic(t.grid(masked=True), ["key"], "pos", "v", "v_quad").select("key", "h", "v_quad"))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import hash31, unit_hash
 from ..operators import alarms, models, relevance
 from ..session import settle
-from .bindings import FEATURES, rnd
+from .bindings import FEATURES, h31, rnd
 from .q_sources import features_long, out
 from .q_windows import sales_positions
 from .registry import query
@@ -99,12 +99,29 @@ def fs_ablation(t):
     return out(relevance.ablation(feat(t), FEATURES, "y"), 5)
 
 
-def regression_rows(df, target="kprice", pred="pred"):
-    return out(df.select("oid", "ln", F.col(target).alias("actual"), F.col(pred).alias("pred")), 4)
+def regression_rows(df, target="kprice", pred="pred", digits=4):
+    return out(df.select("oid", "ln", F.col(target).alias("actual"), F.col(pred).alias("pred")), digits)
 
 
-@query("ml_linear")
+_TRAIN = f"{h31('oid', 51)} / 2147483648.0 < 0.7"
+
+
+@query(
+    "ml_linear",
+    f"""WITH f AS (SELECT oid, ln, qty, psize, price / 1000.0 AS kprice, {_TRAIN} AS tr FROM feat),
+        s AS (SELECT avg(qty) AS mq, avg(psize) AS ms, avg(kprice) AS my, var_pop(qty) AS vq, var_pop(psize) AS vs, covar_pop(qty, psize) AS c,
+          covar_pop(qty, kprice) AS cq, covar_pop(psize, kprice) AS cs FROM f WHERE tr),
+        b AS (SELECT mq, ms, my, (cq * vs - cs * c) / (vq * vs - c * c) AS bq, (cs * vq - cq * c) / (vq * vs - c * c) AS bs FROM s)
+        SELECT oid, ln, {rnd('kprice', 5)} AS actual, {rnd('my + bq * (qty - mq) + bs * (psize - ms)', 5)} AS pred FROM f, b WHERE NOT tr""",
+)
 def ml_linear(t):
+    """Least squares on two predictors, checked against the closed form."""
+    train, test = halves(feat(t))
+    return regression_rows(models.linear(train, test, ["qty", "psize"], "kprice"), digits=5)
+
+
+@query("ml_linear_all")
+def ml_linear_all(t):
     train, test = halves(feat(t))
     return regression_rows(models.linear(train, test, PREDICTORS, "kprice"))
 

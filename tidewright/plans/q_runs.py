@@ -192,7 +192,16 @@ def dec_relative_regret(t):
     return out(decisions.relative_regret(options(t), ["oid"], "ln", "c", "ch").select("oid", "relative_regret"))
 
 
-@query("dec_smoothed")
+_DRAWS = f"""{_OPT}, d AS (SELECT oid, ln, c, draw, ch + 2.0::DOUBLE * sqrt(-2.0 * ln(1.0 - {unit('(oid * 8 + ln) * 8 + draw', 42)})) * cos({unit('(oid * 8 + ln) * 8 + draw', 43)} * 2 * pi()) AS ch
+  FROM (SELECT *, unnest(range(8)) AS draw FROM op)),
+  x AS (SELECT oid, draw, min_by(c, (ch, ln, c)) - min(c) AS regret, min_by(ch, (c, ln, c)) - min(ch) AS sc, min_by(2 * ch - c, (c, ln, c)) - min(2 * ch - c) AS spo FROM d GROUP BY 1, 2)"""
+
+
+@query(
+    "dec_smoothed",
+    f"""WITH {_DRAWS} SELECT 'regret' AS metric, {rnd('avg(regret)')} AS loss FROM x
+        UNION ALL SELECT 'self_contrastive', {rnd('avg(sc)')} FROM x UNION ALL SELECT 'spo_plus', {rnd('avg(spo)')} FROM x""",
+)
 def dec_smoothed(t):
     return out(decisions.smoothed(options(t), ["oid"], "ln", "c", "ch", F.expr("oid * 8 + ln"), 8, 2.0, 42))
 
