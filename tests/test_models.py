@@ -57,6 +57,24 @@ def test_relevance_finds_the_causes(planted):
     assert b["a"] == "confirmed" and b["c"] != "confirmed"
 
 
+def test_sampled_attributions_add_up(planted):
+    from pyspark.ml.regression import LinearRegression
+
+    fit = LinearRegression(featuresCol="_x", labelCol="y").fit(models.vectorise(planted, COLS))
+
+    def predict(df, vector, to):
+        return fit.setFeaturesCol(vector).setPredictionCol(to).transform(df)
+
+    phi = relevance.shapley_sampled(planted, "id", COLS, predict, 2, 3).toPandas().sort_values("id")
+    w = dict(zip(COLS, fit.coefficients))
+    x = planted.toPandas().sort_values("id")
+    for c in COLS:
+        # On average the background's mean is taken off.
+        assert phi[f"phi_{c}"].mean() == pytest.approx(0.0, abs=1e-6)
+        slope = np.polyfit(x[c], phi[f"phi_{c}"], 1)[0]
+        assert slope == pytest.approx(w[c], abs=0.25)
+
+
 def test_permutation_keeps_the_multiset(planted):
     p = relevance.permuted(planted.select("id", "a"), "id", ["a"], 3).toPandas()
     assert len(p) == 1500 and sorted(p["a"]) == sorted(p["p_a"]) and (p["a"] != p["p_a"]).mean() > 0.9

@@ -3,11 +3,12 @@ and importances have one row per feature."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -274,3 +275,44 @@ def ablation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
         scores.append(F.struct(F.lit(name).alias("config"), linear_score(float(b[0]), weights).alias("score")))
     long = z.select(target, F.explode(F.array(*scores)).alias("_s")).select(target, "_s.*")
     return roc_auc(long, target, "score", ["config"])
+
+
+def shapley_sampled(
+    df: DataFrame, ident: str, columns: Sequence[str], predict: Callable[[DataFrame, str, str], DataFrame],
+    draws: int, seed: int,
+) -> DataFrame:
+    """Sampled additive attributions ``phi_*`` for any model, averaged over ``draws``.
+
+    Per draw a row meets one background row (a permutation join) and a hashed feature order;
+    features switch from the background's value to the row's own one by one, and the change
+    of the score belongs to the feature switched. ``predict(df, vector, out)`` adds a score of
+    a vector column; it is called ``len(columns) + 1`` times per draw, each on all rows.
+    """
+    total = None
+    for r in range(draws):
+        both = permuted(df.select(ident, *columns), ident, columns, seed + 2 * r)
+        ranks = F.array_sort(F.array(*[
+            F.struct(F.xxhash64(F.col(ident), F.lit(seed + r), F.lit(c)).alias("h"), F.lit(i).alias("i"))
+            for i, c in enumerate(columns)
+        ]))
+        both = both.withColumn("_order", F.transform(ranks, lambda s: s["i"]))
+        both = both.withColumns({
+            f"_k_{c}": F.array_position("_order", F.lit(i)) for i, c in enumerate(columns)
+        })
+        for step in range(len(columns) + 1):
+            mixed = F.array(*[
+                F.when(F.col(f"_k_{c}") <= step, F.col(c)).otherwise(F.col(f"p_{c}")) for c in columns
+            ])
+            both = predict(both.withColumn("_v", array_to_vector(mixed)), "_v", f"_f{step}").drop("_v")
+        path = F.array(*[F.col(f"_f{s}") for s in range(len(columns) + 1)])
+        both = both.withColumn("_path", path)
+        gain = {
+            f"phi_{c}": F.element_at("_path", (F.col(f"_k_{c}") + 1).cast("int"))
+            - F.element_at("_path", F.col(f"_k_{c}").cast("int"))
+            for c in columns
+        }
+        one = both.select(ident, *columns, *[g.alias(n) for n, g in gain.items()])
+        total = one if total is None else total.unionByName(one)
+    return total.groupBy(ident).agg(
+        *[F.first(c).alias(c) for c in columns], *[F.avg(f"phi_{c}").alias(f"phi_{c}") for c in columns]
+    )

@@ -76,6 +76,22 @@ def fs_shapley_linear(t):
     return out(relevance.shapley_importance(relevance.shapley_linear(t.feat(), WEIGHTS), list(WEIGHTS)), 5)
 
 
+@query("fs_shapley_sampled")
+def fs_shapley_sampled(t):
+    """Mean absolute attribution of a forest's predictions."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    f = feat(t)
+    x = models.vectorise(f, PREDICTORS)
+    fit = RandomForestRegressor(featuresCol="_x", labelCol="kprice", numTrees=6, maxDepth=4, seed=7).fit(x)
+
+    def predict(df, vector, to):
+        return fit.setFeaturesCol(vector).setPredictionCol(to).transform(df)
+
+    phi = relevance.shapley_sampled(f, "id", PREDICTORS, predict, 1, 81)
+    return out(relevance.shapley_importance(phi, PREDICTORS))
+
+
 @query(
     "fs_union",
     "SELECT feature FROM (SELECT * FROM (" + features_long(PREDICTORS, "SELECT '{c}' AS feature, var_pop({c}) AS score FROM feat") + ") ORDER BY score DESC LIMIT 2)"
