@@ -8,12 +8,12 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "flagship_alarm", "thr_sweep_windows", "thr_sweep_tolerance", "thr_sweep_rul", "join_asof",
+    "thr_sweep_windows", "thr_sweep_tolerance", "thr_sweep_rul", "join_asof",
     "join_interval_windows", "rs_grid_mean", "agg_describe", "agg_bin_features", "agg_corr_matrix",
     "agg_monthly_panel", "win_sliding_panel", "win_rolling_mean_std", "win_ewm", "fill_linear",
     "fill_time", "fill_knn", "scale_robust", "den_kde_1d", "eval_roc_auc", "surv_lookahead",
     "spl_stratified", "dec_regret", "ts_decompose", "fs_univariate", "ml_linear",
-    "st_tumbling_count",
+    "st_tumbling_count", "flagship_alarm",
 ]
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
 HOUR = 60 * MINUTE
@@ -94,10 +96,14 @@ def keyed(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
 
 
 def attach(df: DataFrame, stats: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Bring per-key statistics to the rows: a join on the key, or a scalar row without one
-    (a join on a constant would be a cross join)."""
+    """Bring per-key statistics to raw rows: a join on the key, or a scalar row without one
+    (a join on a constant would be a cross join).
+
+    The statistics are written first. The planner then knows their size and broadcasts them
+    when they are small; otherwise it would shuffle the raw rows before it can find out.
+    """
     if list(key) != [ALL]:
-        return df.join(stats, list(key))
+        return df.join(settle(stats, "stats"), list(key))
     names = [c for c in stats.columns if c != ALL]
     df = df.withColumn("_stats", scalar_row(stats.select(*names)))
     return df.withColumns({c: F.col("_stats")[c] for c in names}).drop("_stats")

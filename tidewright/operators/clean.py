@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import scalar_row
+from ..functions.exprs import attach, scalar_row
 from .quantiles import exact_quantiles, melt
 
 
@@ -44,7 +44,7 @@ def iqr_split(
 ) -> DataFrame:
     """Rows inside the whiskers of their key, or with ``removed`` the complement."""
     inside = F.col(value).between(F.col("lo"), F.col("hi"))
-    joined = df.join(iqr_bounds(df, key, value), list(key))
+    joined = attach(df, iqr_bounds(df, key, value), key)
     return joined.where(~inside if removed else inside).drop("lo", "hi")
 
 

@@ -129,7 +129,7 @@ def kde_signal(
     """Attach the density signal to every row (joined back on slot and value)."""
     scores = kde_scores(train, rows, slot, value, bandwidth, kernel, dims, out)
     keep = [c for c in scores.columns if c != bandwidth]
-    return rows.join(scores.select(*keep), [*slot, value], "left")
+    return rows.join(settle(scores.select(*keep), "kde-scores"), [*slot, value], "left")
 
 
 def bandwidth_cv(

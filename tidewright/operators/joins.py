@@ -7,26 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import idiv
-from .ordered import framed, neighbours, positions
+from ..functions.exprs import attach, idiv
+from ..session import settle
+from .ordered import framed
 
 
 def with_group_size(df: DataFrame, key: Sequence[str], out: str) -> DataFrame:
     """Attach each group's row count. A count window would gather a hot group in one task;
-    the aggregate combines map-side and its join is left to adaptive execution."""
+    the aggregate combines map-side and is joined back."""
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, list(key))
+    return attach(df, sizes, key)
 
 
 def lookup(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join of a per-slot profile; rows without a profile keep nulls."""
-    return df.join(table, list(on), "left")
+    return df.join(settle(table, "lookup"), list(on), "left")
 
 
-def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+def class_weights(df: DataFrame, labels: Sequence[str], out: str = "weight") -> DataFrame:
     """Weight 1 / class count looked up per row."""
-    w = df.groupBy(label).agg((1.0 / F.count(F.lit(1))).alias(out))
-    return df.join(w, label)
+    w = df.groupBy(*labels).agg((1.0 / F.count(F.lit(1))).alias(out))
+    return attach(df, w, labels)
 
 
 def asof(

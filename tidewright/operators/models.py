@@ -22,7 +22,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash31
+from ..functions.exprs import attach, hash31
 
 
 def vectorise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,7 +50,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "_w") -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     all_rows = Window.partitionBy()
     w = F.sum("_n").over(all_rows) / (F.count(F.lit(1)).over(all_rows) * F.col("_n"))
-    return df.join(counts.select(label, w.alias(out)), label)
+    return attach(df, counts.select(label, w.alias(out)), [label])
 
 
 def logistic_balanced(

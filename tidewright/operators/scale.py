@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import scalar_row
+from ..session import settle
 from .ordered import framed, positions
 from .quantiles import exact_quantiles, melt
 
@@ -83,7 +84,7 @@ def label_codes(df: DataFrame, column: str, out: str) -> DataFrame:
     # A prefix is monotone in the text, so even very many levels are ordered cell by cell.
     ranked = positions(levels, ["_all"], [column], [F.substring(column, 1, 4)], "_pos")
     codes = ranked.select(column, (F.col("_pos") - 1).alias(out))
-    return df.join(codes, column, "left")
+    return df.join(settle(codes, "codes"), column, "left")
 
 
 def cyclic_month(df: DataFrame, month: Column, year: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import idiv
+from ..functions.exprs import attach, idiv
 from .ordered import CHUNK_ROWS, framed
 
 
@@ -240,7 +240,7 @@ def chronological_split(
     a = F.floor(F.col("_n") * train)
     b = F.floor(F.col("_n") * (train + val))
     part = F.when(F.col(pos) <= a, "train").when(F.col(pos) <= b, "val").otherwise("test")
-    return df.join(sizes, list(key)).withColumn("part", part).drop("_n")
+    return attach(df, sizes, key).withColumn("part", part).drop("_n")
 
 
 def walk_forward(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import HOUR, hash31, idiv, micros
 from ..operators.ordered import positions, time_cells
 from ..operators.resample import dense_grid
-from ..session import settle
+from ..session import settle, spread
 
 # Label windows [begin, end) with one label each. The third label lies on
 # its window's begin, so no alarm can come before it (the late case).
@@ -123,7 +123,7 @@ class Tables:
 
     def feat_table(self, masked: bool = False) -> DataFrame:
         """FEAT written once, for queries that pass over it several times."""
-        return settle(self.feat(masked), "feat")
+        return settle(spread(self.feat(masked), self.lineitem), "feat")
 
     def feat(self, masked: bool = False) -> DataFrame:
         """Line features joined with part and order; y = 1 for finished orders."""

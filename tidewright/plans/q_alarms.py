@@ -42,7 +42,7 @@ def join_profile_lookup(t):
     f"""SELECT o_orderkey AS id, {rnd('1.0 / count(*) OVER (PARTITION BY o_orderpriority)', 9)} AS weight FROM orders""",
 )
 def join_weight_map(t):
-    w = joins.class_weights(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority")
+    w = joins.class_weights(t.orders.select("o_orderkey", "o_orderpriority"), ["o_orderpriority"])
     return out(w.select(F.col("o_orderkey").alias("id"), "weight"), 9)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import DAY, HOUR, idiv, micros
+from ..functions.exprs import DAY, HOUR, attach, idiv, micros
 from ..operators import alarms, anomaly, density, windows
 from ..session import settle
 from .bindings import FEATURES, TRAIN_END, h31, rnd
@@ -44,8 +44,7 @@ _KDE = """p AS (SELECT e.key, e.value, -0.5 * power((e.value - s.value) / hh, 2)
 def den_kde_1d(t):
     ser = t.ser()
     past = ser.where(F.col("t") < cut())
-    h = density.bandwidth_rule(past, ["key"], "value")
-    rows = ser.join(h, "key")
+    rows = attach(ser, density.bandwidth_rule(past, ["key"], "value"), ["key"])
     s = density.kde_signal(train_points(past, ["key"]), rows, ["key"], "value", "h")
     return out(s.select("event_id", "signal"))
 
@@ -212,7 +211,7 @@ def hourly_signal(t):
     """Hourly arrivals -> training density (rule-of-thumb bandwidth) -> signal per hour."""
     g = t.grid(total=True).select("key", (F.col("h") * HOUR).alias("t"), F.col("n").cast("double").alias("value"))
     past = g.where(F.col("t") < cut())
-    rows = g.join(density.bandwidth_rule(past, ["key"], "value"), "key")
+    rows = attach(g, density.bandwidth_rule(past, ["key"], "value"), ["key"])
     signal = density.kde_signal(train_points(past, ["key"]), rows, ["key"], "value", "h")
     return settle(signal.select("t", "signal"), "signal")
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import gauss_logpdf, unit_hash
+from ..functions.exprs import attach, gauss_logpdf, unit_hash
 from ..operators import fill
 from .bindings import FEATURES, h31, rnd
 from .q_sources import out
@@ -171,7 +171,7 @@ def fill_mask_eval(t):
 def eval_gauss_loglik(t):
     s = t.scored()
     sd = s.groupBy("grp").agg(F.stddev(F.col("actual") - F.col("pred")).alias("sd"))
-    ll = s.join(sd, "grp").groupBy("grp").agg(
+    ll = attach(s, sd, ["grp"]).groupBy("grp").agg(
         F.count(F.lit(1)).alias("n"), F.sum(gauss_logpdf("actual", "pred", "sd")).alias("loglik")
     )
     return out(ll, 4)

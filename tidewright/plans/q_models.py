@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31, unit_hash
 from ..operators import alarms, models, relevance
-from ..session import settle
+from ..session import settle, spread
 from .bindings import FEATURES, h31, rnd
 from .q_sources import features_long, out
 from .q_windows import sales_positions
@@ -18,7 +18,7 @@ def feat(t):
     """FEAT with an id from all columns: rows of equal id are equal, so ties do no harm."""
     f = t.feat()
     f = f.withColumn("id", F.xxhash64(*f.columns)).withColumn("kprice", F.col("price") / 1000.0)
-    return settle(f, "feat")
+    return settle(spread(f, t.lineitem), "feat")
 
 
 def halves(f, seed=51):

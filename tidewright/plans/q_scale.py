@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import HOUR, idiv
 from ..operators import scale
+from ..operators.joins import class_weights
 from .bindings import FEATURES, rnd
 from .q_sources import out
 from .q_windows import SM, sales_positions
@@ -149,8 +150,7 @@ def xf_boxcox(t):
 )
 def wt_inverse_freq(t):
     m = t.mach().select("machine", "cycle", (F.col("rul") < 25).alias("failing"))
-    sizes = m.groupBy("machine", "failing").agg((1.0 / F.count(F.lit(1))).alias("weight"))
-    return out(m.join(sizes, ["machine", "failing"]), 9)
+    return out(class_weights(m, ["machine", "failing"]), 9)
 
 
 def _decompose(mult):

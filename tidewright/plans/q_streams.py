@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.exprs import DAY, hash31, micros
+from ..session import settle
 from ..streaming import streams
 from .bindings import MACH_ORDER, h31, rnd
 from .q_sources import out
@@ -36,7 +37,7 @@ def st_sliding_mean(t):
 )
 def st_threshold_alarm(t):
     thr = t.ser().groupBy("key").agg((F.avg("value") + 2 * F.stddev("value")).alias("thr"))
-    alarm = streams.threshold_alarm(events(t), thr, "key", "value", "thr")
+    alarm = streams.threshold_alarm(events(t), settle(thr, "thresholds"), "key", "value", "thr")
     return streams.drain(alarm.select("key", "event_id", "value"), "alarm")
 
 

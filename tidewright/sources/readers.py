@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import micros
+from ..functions.exprs import attach, micros
 from ..operators.joins import with_group_size
 
 SERIES_SCHEMA = "timestamp timestamp_ntz, value double"
@@ -69,7 +69,7 @@ def shift_ids(df: DataFrame, source: str, ident: str) -> DataFrame:
     ids = df.select(source, ident).distinct().groupBy(source).agg(F.count(F.lit(1)).alias("_k"))
     earlier = Window.orderBy(source).rowsBetween(Window.unboundedPreceding, -1)
     shift = ids.select(source, F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_shift"))
-    return df.join(shift, source).withColumn(ident, F.col(ident) + F.col("_shift")).drop("_shift")
+    return attach(df, shift, [source]).withColumn(ident, F.col(ident) + F.col("_shift")).drop("_shift")
 
 
 def read_delimited(
