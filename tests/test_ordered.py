@@ -102,3 +102,16 @@ def test_time_cells_bound_rows(spark):
     width = ordered.time_cells(df, "t", target=100)
     most = df.groupBy(idiv("t", width)).count().agg(F.max("count")).first()[0]
     assert most <= 101
+
+
+def test_null_times_keep_their_place(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 50, 2), ("a", -9, 3), ("a", None, 4)], "key string, t bigint, id bigint")
+    got = {r["id"]: r["pos"] for r in ordered.positions(df, ["key"], ["t", "id"], [idiv("t", 10)]).collect()}
+    assert got == {1: 1, 4: 2, 3: 3, 2: 4}
+
+
+def test_group_size_keeps_null_keys(spark):
+    from tidewright.operators.joins import with_group_size
+
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "key string, id bigint")
+    assert {r["id"]: r["n"] for r in with_group_size(df, ["key"], "n").collect()} == {1: 2, 2: 2, 3: None}

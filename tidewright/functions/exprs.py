@@ -101,9 +101,10 @@ def attach(df: DataFrame, stats: DataFrame, key: Sequence[str]) -> DataFrame:
 
     The statistics are written first. The planner then knows their size and broadcasts them
     when they are small; otherwise it would shuffle the raw rows before it can find out.
+    Rows with a null key stay, without statistics.
     """
     if list(key) != [ALL]:
-        return df.join(settle(stats, "stats"), list(key))
+        return df.join(settle(stats, "stats"), list(key), "left")
     names = [c for c in stats.columns if c != ALL]
     df = df.withColumn("_stats", scalar_row(stats.select(*names)))
     return df.withColumns({c: F.col("_stats")[c] for c in names}).drop("_stats")

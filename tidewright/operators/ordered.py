@@ -35,8 +35,21 @@ def time_cells(df: DataFrame, time: str, target: int = 1 << 20, widest: int = 3_
 
 
 def _named_cells(df: DataFrame, cells: Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    """Add the cells; a null cell becomes the lowest value of its type, where nulls sort."""
     names = [f"_cell{i}" for i in range(len(cells))]
-    return df.withColumns(dict(zip(names, cells))), names
+    df = df.withColumns(dict(zip(names, cells)))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.withColumns({n: F.coalesce(F.col(n), _lowest(kinds[n])) for n in names}), names
+
+
+def _lowest(kind: str) -> Column:
+    if kind == "string":
+        return F.lit("")
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.lit("0001-01-01").cast(kind)
+    if kind in ("float", "double"):
+        return F.lit(float("-inf")).cast(kind)
+    return F.lit(-(2**31)).cast(kind) if kind == "int" else F.lit(-(2**63)).cast(kind)
 
 
 def positions(
@@ -47,7 +60,8 @@ def positions(
     out: str = "pos",
     total: str | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its key's total order ``by``.
+    """1-based position of each row in its key's total order ``by``. Rows with a null key
+    belong to no series and are left out, as grouped pandas operations do.
 
     ``cells`` must be monotone in ``by`` (rows of a smaller cell come first). Counts per
     cell are combined map-side; only the count table is scanned per key.
