@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,13 +27,15 @@ def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a
-    machine-local folder.
+    Only a session in one process (a local test) without that setting gets a folder of its own;
+    on a cluster a missing setting is an error, as executors don't share local folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidewright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
