@@ -2,19 +2,59 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, fingerprints, packing, pii, quality, simhash
 from .common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find(table(spark, sf_dir, "documents"))
+
+    def n(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    every = F.array_sort(F.concat("spans", "term_spans"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        *[n(kind) for kind in pii.KINDS],
+        F.sha2(pii.labelled(F.col("spans")), 256).alias("base_sha256"),
+        pii.labelled(every).alias("spans"),
+    )
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.versions(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), *rule), *rule))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     fp = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.select(F.col("id").alias("doc_id"), fp.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text")
+    score = F.col("quality_score")
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocab))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -32,7 +72,12 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
+    "op8_quality": op8_quality,
+    "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
