@@ -28,7 +28,7 @@ from ..session import settle
 from .common import FILE, LOCATOR, located, whole_text
 from .tokens import word_cache
 
-CAPACITY, GROUPS, LARGE = 2048, 64, 1 / 8
+CAPACITY, GROUPS, LARGE = 2048, 512, 1 / 4
 
 
 def pieces(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -112,25 +112,29 @@ def best_fit(room: dict[int, int], small: dict[int, int], capacity: int, new_fro
     Returns slots (length, first document, end, class, first sequence of the class, order) and the
     number of new sequences, which form the class ``new_from``.
     """
-    parts = sorted((left, cls, 0, n, 0) for left, n in room.items() if n for cls in [left])
+    parts = sorted((left, left, 0, n, 0) for left, n in room.items() if n)
     slots, opened = [], 0
-    remaining = sum(length * n for length, n in small.items())
     for length in sorted(small, reverse=True):
         first, n = 0, small[length]
         while n:
             k = bisect_left(parts, (length,))
             if k == len(parts):
-                more = max(1, -(-remaining // capacity))
+                more = -(-n // (capacity // length))
                 insort(parts, (capacity, new_from, opened, opened + more, 0))
                 opened += more
                 continue
             left, cls, lo, hi, order = parts.pop(k)
-            take = min(n, hi - lo)
-            slots.append((length, first, first + take, cls, lo, order))
-            insort(parts, (left - length, cls, lo, lo + take, order + 1))
-            if lo + take < hi:
-                insort(parts, (left, cls, lo + take, hi, order))
-            first, n, remaining = first + take, n - take, remaining - take * length
+            each = left // length  # the sequence that an item fits best still fits best afterwards
+            full = min(hi - lo, n // each)
+            for times, wide in ((each, full), (n - each * full, int(full < hi - lo and n > each * full))):
+                if wide:
+                    for i in range(times):
+                        slots.append((length, first, first + wide, cls, lo, order + i))
+                        first, n = first + wide, n - wide
+                    insort(parts, (left - times * length, cls, lo, lo + wide, order + times))
+                    lo += wide
+            if lo < hi:
+                insort(parts, (left, cls, lo, hi, order))
     return slots, opened
 
 
