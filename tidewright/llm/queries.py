@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, packing, pii, quality, simhash
+from . import bpe, exact_dedup, fingerprints, html_text, licenses, packing, pii, quality, simhash
 from .common import table
 
 
@@ -40,6 +40,27 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), fp.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html_text.main_texts(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    starts = F.transform("base", lambda b: b["start"])
+    base = F.transform("base", lambda b: b["label"])
+    every = F.concat(base, F.transform("found", lambda f: f["label"]))
+
+    def listed(labels: F.Column) -> F.Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return rows.select(
+        "doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).cast("bigint").alias("first_word"), F.array_max(starts).cast("bigint").alias("last_word"),
+        listed(base).alias("base_labels"), listed(every).alias("labels"), "score",
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = quality.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text")
@@ -76,6 +97,8 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
+    "op5_html": op5_html,
+    "op7_licenses": op7_licenses,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
