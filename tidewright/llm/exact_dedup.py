@@ -25,6 +25,7 @@ _STATE = "spark.sql.streaming.stateStore."
 _DISK = {
     f"{_STATE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STATE}rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STATE}rocksdb.allowFAllocate": "false",  # many small stores would reserve more than they hold
 }
 
 
