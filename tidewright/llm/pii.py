@@ -188,10 +188,10 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         term = F.when(F.array_contains(full, F.lower(s["value"])), "").otherwise("[TERM]")
         return F.when(s["kind"] == "term", term).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
-    clean = found.select(*LOCATOR, F.when(F.size(spans) > 0, _replaced(F.col("text"), spans, by)).otherwise(F.col("text")).alias("_clean"))
+    clean = found.select(*LOCATOR, F.when(F.size(spans) > 0, _replaced(F.col("text"), spans, by)).otherwise(F.col("text")).alias("_pii_clean"))
     joined = docs.join(clean, LOCATOR)
-    new = F.when(F.col(text_col).isNotNull(), F.col("_clean"))
+    new = F.when(F.col(text_col).isNotNull(), F.col("_pii_clean"))
     columns = {text_col: new}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType)
-    return joined.withColumns(columns).drop("_clean", *LOCATOR)
+    return joined.withColumns(columns).drop("_pii_clean", *LOCATOR)

@@ -28,6 +28,7 @@ from .common import whole_text
 SAMPLE = 20_000
 BUCKETS = 1 << 14
 FACTORS = 8
+SCORE = "_fm_score"
 
 _UPPER, _DIGIT = string.ascii_uppercase.encode(), string.digits.encode()
 _PUNCT = string.punctuation.encode()
@@ -178,10 +179,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``quality_score``. Every row and the whole of every text is scored; null
+    """``docs`` with a column ``SCORE``. Every row and the whole of every text is scored; null
     counts as empty. Without labels every score is one half."""
     has_length = "n_chars" in docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(
         Model(model.bias, model.weight.astype(np.float32), model.factor.astype(np.float32))
     )  # a fixed 0.6 MB
@@ -200,4 +201,4 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that score below one half."""
     model = train(docs, labels, id_col, text_col)
-    return scored(docs, model, text_col).where("quality_score >= 0.5").drop("quality_score")
+    return scored(docs, model, text_col).where(F.col(SCORE) >= 0.5).drop(SCORE)

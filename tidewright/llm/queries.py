@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, html_text, licenses, packing, pii, quality, simhash
+from . import bpe, exact_dedup, fingerprints, html_text, licenses, packing, pii, quality, repeats, simhash
 from .common import table
 
 
@@ -45,6 +45,16 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
     starts = F.transform("base", lambda b: b["start"])
@@ -64,7 +74,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = quality.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text")
-    score = F.col("quality_score")
+    score = F.col(quality.SCORE)
     return quality.scored(docs, model).select(
         "doc_id", quality.held_out().alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
     )
@@ -98,6 +108,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_html": op5_html,
+    "op6_repeats": op6_repeats,
     "op7_licenses": op7_licenses,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
