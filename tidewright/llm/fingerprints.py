@@ -16,6 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import partitions, whole_text
 from .iblt import CELLS, Paragraphs, differing, likeness, sketch
@@ -43,7 +44,8 @@ def differences(pairs: DataFrame, left: str, right: str) -> DataFrame:
             lists = [pa.array([f[i].view(np.int64).tolist() for f in found], pa.list_(pa.int64())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*b.columns, *lists], names)
 
-    schema = pairs.schema.add("gone", "array<bigint>").add("came", "array<bigint>")
+    digests = T.ArrayType(T.LongType())
+    schema = T.StructType([*pairs.schema.fields, T.StructField("gone", digests), T.StructField("came", digests)])
     return pairs.mapInArrow(run, schema)
 
 

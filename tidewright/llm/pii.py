@@ -63,45 +63,112 @@ _VALUE = {"email": F.lower, "ip": lambda v: v, "card": _digits, "phone": _digits
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
-def _matches(text: Column, pattern: Column | str, rank: int, kind: str) -> Column:
-    """All matches with their places in code points: the pieces between the matches and the
-    matches themselves add up to the text."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once (a lambda would repeat an expression per element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, zero: Column, op) -> Column:
+    """Running totals of an array, by blocks, so that long arrays don't cost the square of their size."""
+    wide = 64
+
+    def joined(blocks: Column) -> Column:
+        def after(totals: Column) -> Column:
+            def block(b: Column, j: Column) -> Column:
+                base = F.aggregate(F.slice(totals, F.lit(1), j), zero, op)
+                return _let(base, lambda x: F.transform(b, lambda _, i: op(x, F.aggregate(F.slice(b, F.lit(1), i + 1), zero, op))))
+
+            return F.flatten(F.transform(blocks, block))
+
+        return _let(F.transform(blocks, lambda b: F.aggregate(b, zero, op)), after)
+
+    last = F.floor((F.size(values) - 1) / wide).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(values, j * wide + 1, F.lit(wide)))
+    return F.when(F.size(values) > 0, _let(blocks, joined)).otherwise(F.array().cast("array<int>"))
+
+
+def _cut(text: Column, pattern: Column | str, body) -> Column:
+    """``body`` of a pattern's matches in a text and of the pieces around them, which add up to the text."""
     found = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
-    zipped = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(b.alias("b"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+    both = F.struct(found.alias("found"), F.split(text, pattern, -1).alias("around"))
+    return _let(both, lambda p: body(p["found"], p["around"]))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["b"])
-        end = begin + F.length(x["m"])
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.aggregate(zipped, start, step, lambda acc: acc["spans"])
+def _matches(text: Column, pattern: Column | str, rank: int, kind: str) -> Column:
+    """All matches with their places in code points."""
+
+    def placed(found: Column, around: Column) -> Column:
+        sizes = F.zip_with(F.slice(around, F.lit(1), F.size(found)), found, lambda a, m: F.length(a) + F.length(m))
+        return F.zip_with(
+            _let(sizes, lambda v: _running(v, F.lit(0), lambda x, y: x + y)), found,
+            lambda end, m: F.struct(
+                (end - F.length(m)).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), m.alias("value")
+            ),
+        )
+
+    return F.coalesce(_cut(text, pattern, placed), F.array().cast(_SPAN)).cast(_SPAN)
+
+
+def _contexts(text: Column, kind: str) -> Column:
+    """(entity, near) of a kind's entities: the normal form, and the distinct words within ``WINDOW``
+    code points on either side up to the next match of the kind. E-mail addresses are no
+    words; what the window's edge may have cut is left out."""
+
+    def near(found: Column, around: Column) -> Column:
+        sides = F.zip_with(
+            F.slice(around, F.lit(1), F.size(found)), F.slice(around, F.lit(2), F.size(found)),
+            lambda a, b: F.concat(
+                F.regexp_replace(F.right(a, F.lit(WINDOW)), F.when(F.length(a) > WINDOW, r"^\S+").otherwise(r"^$"), ""),
+                F.lit(" "),
+                F.regexp_replace(F.left(b, F.lit(WINDOW)), F.when(F.length(b) > WINDOW, r"\S+$").otherwise(r"^$"), ""),
+            ),
+        )
+        pairs = F.zip_with(found, sides, lambda m, s: F.struct(m.alias("value"), s.alias("side")))
+        return F.transform(
+            F.filter(pairs, lambda p: _VALID[kind](p["value"])),
+            lambda p: F.struct(
+                F.concat(F.lit(f"{kind}:"), _VALUE[kind](p["value"])).alias("entity"),
+                _words(F.regexp_replace(p["side"], r"\S+@\S+", " ")).alias("near"),
+            ),
+        )
+
+    kinds = "array<struct<entity:string,near:array<string>>>"
+    return F.coalesce(F.when(_guard(text, kind), _cut(text, _PATTERN[kind], near)), F.array().cast(kinds))
+
+
+def _guard(text: Column, kind: str) -> Column:
+    """A cheap condition that every text with a match meets."""
+    if kind == "email":
+        return F.contains(text, F.lit("@"))
+    digit = text.rlike("[0-9]")
+    return digit & F.contains(text, F.lit("+")) if kind == "phone" else digit
 
 
 def base_spans(text: Column) -> Column:
     """Entities of all kinds in one array ordered by start, then kind."""
-    digit = text.rlike("[0-9]")
-    guard = {"email": F.contains(text, F.lit("@")), "ip": digit, "card": digit, "phone": digit & F.contains(text, F.lit("+"))}
     parts = []
     for rank, kind in enumerate(KINDS):
         valid = _VALID[kind]
         spans = F.filter(_matches(text, _PATTERN[kind], rank, kind), lambda s: valid(s["value"]))  # noqa: B023
-        parts.append(F.when(guard[kind], spans).otherwise(F.array().cast(_SPAN)))
+        parts.append(F.when(_guard(text, kind), spans).otherwise(F.array().cast(_SPAN)))
     return F.array_sort(F.concat(*parts))
 
 
 def _replaced(text: Column, spans: Column, by) -> Column:
-    """``text`` with each span replaced; spans that overlap are replaced as one."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``text`` with each span replaced; spans that overlap are replaced as one, by the first."""
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        copied = F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), by(s))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, copied).otherwise(acc["out"]).alias("out"))
+    def joined(spans: Column, reach: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            done = F.coalesce(F.get(reach, i - 1), F.lit(0))
+            copied = F.substr(text, done + 1, F.greatest(s["start"] - done, F.lit(0)))
+            return F.when(s["start"] >= done, F.concat(copied, by(s))).otherwise("")
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
+        rest = F.substr(text, F.get(reach, F.size(reach) - 1) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(spans, part), ""), rest)
+
+    ends = F.transform(spans, lambda s: s["end"])
+    both = F.struct(spans.alias("s"), _let(ends, lambda v: _running(v, F.lit(0), lambda x, y: F.greatest(x, y))).alias("r"))
+    return F.when(F.size(spans) > 0, _let(both, lambda p: joined(p["s"], p["r"]))).otherwise(text)
 
 
 def _words(text: Column) -> Column:
@@ -109,25 +176,12 @@ def _words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= 3)
 
 
-def _near_words(text: Column, spans: Column, span: Column) -> Column:
-    """Words near a span; other entities are blanked, words cut by the window's edge are left out."""
-    blank = _replaced(text, spans, lambda s: F.repeat(F.lit(" "), s["end"] - s["start"]))
-    left = F.substr(blank, F.greatest(span["start"] - WINDOW, F.lit(0)) + 1, F.least(span["start"], F.lit(WINDOW)))
-    left = F.when(span["start"] > WINDOW, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-    right = F.substr(blank, span["end"] + 1, F.lit(WINDOW))
-    right = F.when(F.length(blank) > span["end"] + WINDOW, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-    return _words(F.concat(left, F.lit(" "), right))
-
-
 def disclosing_terms(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(term, full): terms that reveal some entity of the corpus; ``docs`` has locator, text, spans."""
     holding = docs.where(F.size("spans") > 0)
-    entity = F.explode("spans").alias("span")
-    seen = holding.select(*LOCATOR, F.xxhash64("text").alias("h"), "text", "spans", entity)
-    value = F.col("span.value")
-    for kind, norm in _VALUE.items():
-        value = F.when(F.col("span.kind") == kind, norm(F.col("span.value"))).otherwise(value)
-    seen = seen.select(*LOCATOR, "h", F.concat_ws(":", "span.kind", value).alias("entity"), _near_words(F.col("text"), F.col("spans"), F.col("span")).alias("near"))
+    contexts = F.concat(*[_contexts(F.col("text"), kind) for kind in KINDS])
+    seen = holding.select(*LOCATOR, F.xxhash64("text").alias("h"), F.explode(contexts).alias("c"))
+    seen = seen.select(*LOCATOR, "h", "c.entity", "c.near")
     near = settle(seen.select(*LOCATOR, "h", "entity", F.explode_outer("near").alias("term")).distinct(), "near")
     of_entity = near.select(*LOCATOR, "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     texts = near.where("term is not null").select("entity", "term", "h").distinct()
@@ -188,7 +242,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         term = F.when(F.array_contains(full, F.lower(s["value"])), "").otherwise("[TERM]")
         return F.when(s["kind"] == "term", term).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
-    clean = found.select(*LOCATOR, F.when(F.size(spans) > 0, _replaced(F.col("text"), spans, by)).otherwise(F.col("text")).alias("_pii_clean"))
+    clean = found.select(*LOCATOR, _replaced(F.col("text"), spans, by).alias("_pii_clean"))
     joined = docs.join(clean, LOCATOR)
     new = F.when(F.col(text_col).isNotNull(), F.col("_pii_clean"))
     columns = {text_col: new}
