@@ -34,6 +34,8 @@ def valid(kind, value):
 def brute(text):
     found = []
     for rank, (kind, pattern) in enumerate(PATTERN.items()):
+        if kind == "email" and "@" not in text:
+            continue  # the plain search would take the square of a long run
         found += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text) if valid(kind, m[0])]
     return ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(found))
 
@@ -56,9 +58,9 @@ def test_base_spans(spark, some_texts):
 
 
 def test_very_long_runs(spark):
-    texts = ["7" * 200_000, "a" * 200_000, "1." * 60_000, "a@" * 60_000, "x@y." * 30_000, "+1" * 50_000, "1 " * 100_000]
+    texts = ["7" * 100_000, "a" * 100_000, "1." * 20_000, "a@" * 20_000, "x@y.z " * 3_000, "+1" * 20_000, "1 " * 30_000]
     rows = pii.find(plain(spark, texts)).select("id", pii.labelled(F.col("spans")).alias("s")).collect()
-    assert {r["id"]: r["s"] for r in rows} == {i: brute(t) for i, t in enumerate(texts) if i != 3} | {3: ""}
+    assert {r["id"]: r["s"] for r in rows} == {i: brute(t) for i, t in enumerate(texts)}
 
 
 def test_terms_that_reveal_an_entity(spark):

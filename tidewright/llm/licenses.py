@@ -1,9 +1,10 @@
 """License scan by a positional index of rare words.
 
 Notices of known licenses are word sequences. The corpus tells how rare each of their words is; each
-template is indexed under its rarest words with their positions. A text's index words are looked up,
-every posting proposes a start (place of the word minus its position in the template), and starts on which
-enough of a template's index words agree are verified: the mandatory phrases must stand at their places.
+template is indexed under the rarest words of its mandatory phrase, with their positions. The rarest ones are
+looked up in a text, each place proposes a start (place of the word minus its position in the
+template), the other postings must agree on the start, and what is left is verified: the whole mandatory
+phrase must stand at its place. A text that holds the phrase holds its index words, so none is missed.
 
 The driver holds the templates and one count per template word, a fixed number. The scan itself is one
 projection without a shuffle, all in DataFrame functions.
@@ -71,17 +72,23 @@ def document_counts(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {r[0]: r[1] for r in held.groupBy("w").agg(F.count(F.lit(1))).collect()}
 
 
-def index(counts: dict[str, int], total: int) -> list[tuple[str, int, int]]:
-    """Postings (word, template, position) of each template's ``INDEXED`` words of highest IDF."""
+def index(counts: dict[str, int], total: int) -> list[list[tuple[str, int]]]:
+    """Per template the ``INDEXED`` words of highest IDF in its mandatory phrase, rarest first, with
+    their positions in the template."""
     postings = []
-    for t, (_, notice, _) in enumerate(TEMPLATES):
-        words = _split(notice)
-        idf = {w: math.log((1 + total) / (1 + counts.get(w, 0))) for w in words}
-        for w in sorted(idf, key=lambda w: (-idf[w], words.index(w)))[:INDEXED]:
-            postings += [(w, t, q) for q, x in enumerate(words) if x == w]
+    for _, notice, phrase in TEMPLATES:
+        words, must = _split(notice), _split(phrase)
+        at = _place(words, must)
+        idf = {w: math.log((1 + total) / (1 + counts.get(w, 0))) for w in must}
+        rare = sorted(idf, key=lambda w: (-idf[w], must.index(w)))[:INDEXED]
+        postings.append([(w, at + must.index(w)) for w in rare])
     return postings
 
 
+def _place(words: list[str], phrase: list[str]) -> int:
+    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+
+
 def _phrase_at(words: Column, start: Column, phrase: list[str]) -> Column:
     hit = F.lit(True)
     for k, w in enumerate(phrase):
@@ -109,10 +116,9 @@ def scan(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     vocabulary = sorted({w for _, notice, _ in TEMPLATES for w in _split(notice)})
     counts = document_counts(rows, vocabulary)
     postings = index(counts, docs.count())
-    keys = sorted({w for w, _, _ in postings})
     words = F.col("words")
-    rows = rows.withColumns({"n_words": F.size(words).cast("bigint"), "base": _base(words), "starts": _starts(words, postings, keys)})
-    rows = rows.withColumn("found", F.when(F.size("starts") > 0, _verified(words, F.col("starts"))).otherwise(F.array().cast(_FOUND)))
+    rows = rows.withColumns({"n_words": F.size(words).cast("bigint"), "base": _base(words), "starts": _starts(words, postings)})
+    rows = rows.withColumn("found", F.when(F.size("starts") > 0, _verified(words, F.col("starts"), postings)).otherwise(F.array().cast(_FOUND)))
     best = F.coalesce(F.array_max(F.transform("found", lambda f: f["cover"])), F.lit(0.0))
     score = F.when(F.size("base") > 0, 1.0).otherwise(best)
     return rows.select(*keep, "n_words", "base", "found", score.alias("score"))
@@ -128,14 +134,15 @@ def _base(words: Column) -> Column:
     return F.array_sort(F.concat(*[named(label, phrase) for label, phrase in BASE]))
 
 
-def _starts(words: Column, postings: list[tuple[str, int, int]], keys: list[str]) -> Column:
-    """Distinct (template, start) that the text's index words propose."""
+def _starts(words: Column, postings: list[list[tuple[str, int]]]) -> Column:
+    """Distinct (template, start) that the places of each template's rarest word propose."""
     kind = "array<struct<t:int,start:int>>"
-    of_word = {w: [(t, q) for x, t, q in postings if x == w] for w in keys}
+    keys = sorted({own[0][0] for own in postings})
 
     def proposed(place: Column) -> Column:
         out = F.array().cast(kind)
-        for w, posts in of_word.items():
+        for w in keys:
+            posts = [(t, own[0][1]) for t, own in enumerate(postings) if own[0][0] == w]
             made = F.array(*[F.struct(F.lit(t).alias("t"), (place["i"] - q).alias("start")) for t, q in posts])
             out = F.when(place["w"] == w, made).otherwise(out)
         return out
@@ -149,17 +156,20 @@ def _starts(words: Column, postings: list[tuple[str, int, int]], keys: list[str]
     )
 
 
-def _verified(words: Column, starts: Column) -> Column:
-    """Proposed starts at which the mandatory phrase stands, with the share of words at their places."""
+def _verified(words: Column, starts: Column, postings: list[list[tuple[str, int]]]) -> Column:
+    """Proposed starts on which the template's other index words agree by their relative places and at which
+    the mandatory phrase stands, with the share of words at their places."""
 
     def cover(place: Column) -> Column:
         out = F.lit(None).cast("double")
         for t, (_, notice, phrase) in enumerate(TEMPLATES):
             own, must = _split(notice), _split(phrase)
-            at = next(i for i in range(len(own)) if own[i : i + len(must)] == must)
             hits = sum((F.coalesce(F.get(words, place["start"] + k) == w, F.lit(False)).cast("int") for k, w in enumerate(own)), F.lit(0))
-            whole = _phrase_at(words, place["start"] + at, must)
-            out = F.when((place["t"] == t) & whole, hits / float(len(own))).otherwise(out)
+            agreed = F.lit(True)
+            for w, q in postings[t][1:]:
+                agreed = agreed & F.coalesce(F.get(words, place["start"] + q) == w, F.lit(False))
+            whole = _phrase_at(words, place["start"] + _place(own, must), must)
+            out = F.when((place["t"] == t) & agreed & whole, hits / float(len(own))).otherwise(out)
         return out
 
     labels = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
