@@ -103,7 +103,7 @@ def attach(df: DataFrame, stats: DataFrame, key: Sequence[str]) -> DataFrame:
     when they are small; otherwise it would shuffle the raw rows before it can find out.
     Rows with a null key stay, without statistics.
     """
-    if list(key) != [ALL]:
+    if list(key) not in ([ALL], []):
         return df.join(settle(stats, "stats"), list(key), "left")
     names = [c for c in stats.columns if c != ALL]
     df = df.withColumn("_stats", scalar_row(stats.select(*names)))

@@ -51,14 +51,15 @@ def bin_features(
 
 
 def pivot_counts(df: DataFrame, row: str, column: str, levels: Sequence[str]) -> DataFrame:
-    """Counts as a wide table with the share of each level in its row."""
+    """Counts as a wide table with the share of each level in its row; ``total`` counts all rows, also
+    those of other levels."""
     wide = df.groupBy(row).agg(
-        *[F.count(F.when(F.col(column) == v, 1)).alias(f"n_{i}") for i, v in enumerate(levels)]
+        *[F.count(F.when(F.col(column) == v, 1)).alias(f"n_{i}") for i, v in enumerate(levels)],
+        F.count(F.lit(1)).alias("total"),
     )
-    total = sum((F.col(f"n_{i}") for i in range(len(levels))), F.lit(0))
     return wide.withColumns(
-        {f"share_{i}": F.try_divide(F.col(f"n_{i}"), total) for i in range(len(levels))}
-    ).withColumn("total", total)
+        {f"share_{i}": F.try_divide(F.col(f"n_{i}"), F.col("total")) for i in range(len(levels))}
+    )
 
 
 def equal_width_bin(x: str, lo: str, hi: str, bins: int) -> Column:

@@ -256,11 +256,12 @@ def sweep_rul(
 
 
 def regression_metrics(df: DataFrame, actual: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
-    """RMSE, MAE, R2 and the residual's sample std from one aggregate."""
+    """RMSE, MAE, R2 and the residual's sample std from one aggregate over the complete pairs."""
     e = F.col(actual) - F.col(pred)
+    seen = F.when(e.isNotNull(), F.col(actual))
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-        (1 - F.try_divide(F.sum(e * e), F.var_pop(actual) * F.count(actual))).alias("r2"),
+        F.count(e).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop(seen) * F.count(seen))).alias("r2"),
         F.stddev(e).alias("residual_std"),
     )
 
@@ -322,7 +323,8 @@ def prediction_spread(df: DataFrame, actual: Column, pred: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(pred).alias("lo"), F.max(pred).alias("hi")
     )
     q = exact_quantiles(d, ["actual_value"], pred, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return base.join(q, "actual_value")
+    q = q.withColumnRenamed("actual_value", "_q")
+    return base.join(q, F.col("actual_value").eqNullSafe(F.col("_q")), "left").drop("_q")
 
 
 def group_gaps(df: DataFrame, groups: Sequence[str], pred: str) -> DataFrame:

@@ -42,8 +42,9 @@ def iqr_bounds(df: DataFrame, key: Sequence[str], value: str, whisker: float = 1
 def iqr_split(
     df: DataFrame, key: Sequence[str], value: str, removed: bool = False
 ) -> DataFrame:
-    """Rows inside the whiskers of their key, or with ``removed`` the complement."""
-    inside = F.col(value).between(F.col("lo"), F.col("hi"))
+    """Rows inside the whiskers of their key, or with ``removed`` the complement. A null value is no
+    outlier; with an empty ``key`` the whiskers are those of the whole table."""
+    inside = F.coalesce(F.col(value).between(F.col("lo"), F.col("hi")), F.lit(True))
     joined = attach(df, iqr_bounds(df, key, value), key)
     return joined.where(~inside if removed else inside).drop("lo", "hi")
 

@@ -111,9 +111,11 @@ def fill_forward_then_median(
 
 
 def fill_knn(
-    df: DataFrame, target: str, coords: Sequence[str], k: int, out: str, radius: float | None = None
-) -> DataFrame:
-    """Mean of the k nearest donors on standardised coordinates, rounded, never negative.
+    df: DataFrame, target: str, coords: Sequence[str], k: int, out: str, radius: float | None = None,
+    least: float | None = 0.0, digits: int | None = 0,
+) -> DataFrame:
+    """Mean of the k nearest donors on standardised coordinates, rounded half-even to ``digits`` (None:
+    not rounded) and not below ``least`` (None: no bound). Rows with a missing coordinate stay null.
 
     Rows of equal coordinates are merged first (count and sum), so work depends on the
     distinct coordinates. Donors tied at the k-th distance share the places that are left.
@@ -157,7 +159,9 @@ def fill_knn(
     estimates = settled[0]
     for part in settled[1:]:
         estimates = estimates.unionByName(part)
-    guess = F.greatest(F.lit(0.0), F.round(F.col("_est")))
+    guess = F.col("_est") if digits is None else F.bround("_est", digits)
+    if least is not None:
+        guess = F.when(guess.isNotNull(), F.greatest(F.lit(least), guess))
     filled = F.coalesce(F.col(target), guess)
     return base.join(estimates, scaled, "left").withColumn(out, filled).drop(*scaled, "_est")
 
@@ -212,12 +216,14 @@ def fill_regression(
 
 
 def gp_posterior(
-    df: DataFrame, key: str, pos: str, value: str, segment: int,
+    df: DataFrame, key: Sequence[str], pos: str, value: str,
     amplitude: float, length: float, period: float, period_length: float,
     period_amplitude: float, noise: float,
 ) -> DataFrame:
-    """Posterior mean and std of a GP with given kernel parameters, per run of ``segment``
-    positions. The segment length bounds every group, whatever the key's size."""
+    """Posterior mean and std of a GP with given kernel parameters, per key.
+
+    Every key is an independent series and is solved as a whole, in one group and in the cube of its
+    observed rows: the caller's key columns (a day, a week) must keep series small."""
     import numpy as np
 
     def kernel(a, b):
@@ -245,17 +251,11 @@ def gp_posterior(
         return pdf.assign(gp_mean=mean, gp_std=np.sqrt(np.maximum(var, 1e-12)))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    seg = df.withColumn("_segment", idiv(F.col(pos) - 1, segment))
-    return (
-        seg.groupBy(key, "_segment")
-        .applyInPandas(
-            lambda pdf: solve(pdf).drop(columns="_segment"), f"{fields}, gp_mean double, gp_std double"
-        )
-    )
+    return df.groupBy(*key).applyInPandas(solve, f"{fields}, gp_mean double, gp_std double")
 
 
 def fill_scaled_by_slot(
-    df: DataFrame, key: str, pos: str, value: str, slot: str, out: str, gp: dict
+    df: DataFrame, key: Sequence[str], pos: str, value: str, slot: str, out: str, gp: dict
 ) -> DataFrame:
     """Divide by the slot's std, run the GP, multiply back, clip at 0, fill only nulls."""
     stds = df.groupBy(slot).agg(F.stddev(value).alias("_sd"))
@@ -266,11 +266,3 @@ def fill_scaled_by_slot(
     post = gp_posterior(scaled, key, pos, "_scaled", **gp)
     back = F.greatest(F.col("gp_mean") * F.col("_sd"), F.lit(0.0))
     return post.withColumn(out, F.coalesce(F.col(value), back)).drop("_sd", "_scaled")
-
-
-def mask_smallest(
-    df: DataFrame, key: Sequence[str], value: str, order: Column, share: float, out: str
-) -> DataFrame:
-    """Hide cells whose hash fraction is below ``share``; ``out`` keeps the rest, ``value``
-    stays as the truth."""
-    return df.withColumn(out, F.when(order >= share, F.col(value)))

@@ -29,6 +29,19 @@ def vectorise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="skip").transform(df)
 
 
+def scored(model, rows: DataFrame, columns: Sequence[str], outputs: Sequence[str]) -> DataFrame:
+    """``rows`` with the model's ``outputs`` (``score``: a classifier's probability of class 1); rows that
+    lack a feature stay, with null outputs."""
+    kept = VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="keep").transform(rows)
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    done = model.transform(kept.withColumn("_whole", whole))
+    if "score" in outputs:
+        done = done.withColumn("score", vector_to_array("probability")[1])
+    return done.withColumns({c: F.when(F.col("_whole"), F.col(c)) for c in outputs}).drop("_x", "_whole")
+
+
 def linear(
     train: DataFrame, rows: DataFrame, columns: Sequence[str], target: str, reg: float = 0.0, out: str = "pred"
 ) -> DataFrame:
@@ -36,7 +49,7 @@ def linear(
     fit = LinearRegression(
         featuresCol="_x", labelCol=target, predictionCol=out, regParam=reg, elasticNetParam=0.0, solver="normal"
     ).fit(vectorise(train, columns))
-    return fit.transform(vectorise(rows, columns)).drop("_x")
+    return scored(fit, rows, columns, [out])
 
 
 def simple_ols(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -56,14 +69,12 @@ def balanced_weights(df: DataFrame, label: str, out: str = "_w") -> DataFrame:
 def logistic_balanced(
     train: DataFrame, rows: DataFrame, columns: Sequence[str], label: str, scaled: bool = True
 ) -> DataFrame:
-    stages = [VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip")]
-    if scaled:
-        stages.append(StandardScaler(inputCol="_raw", outputCol="_x", withMean=True))
+    stages = [StandardScaler(inputCol="_x", outputCol="_z", withMean=True)] if scaled else []
     model = LogisticRegression(
-        featuresCol="_x" if scaled else "_raw", labelCol=label, weightCol="_w", maxIter=50
+        featuresCol="_z" if scaled else "_x", labelCol=label, weightCol="_w", maxIter=50
     )
-    fit = Pipeline(stages=[*stages, model]).fit(balanced_weights(train, label))
-    return fit.transform(rows).withColumn("score", vector_to_array("probability")[1])
+    fit = Pipeline(stages=[*stages, model]).fit(vectorise(balanced_weights(train, label), columns))
+    return scored(fit, rows, columns, ["score", "prediction"]).drop("_z")
 
 
 def forest(
@@ -75,11 +86,11 @@ def forest(
             featuresCol="_x", labelCol=target, weightCol="_w", numTrees=trees, maxDepth=depth, seed=seed
         )
         fit = model.fit(vectorise(balanced_weights(train, target), columns))
-        return fit.transform(vectorise(rows, columns)).withColumn("score", vector_to_array("probability")[1])
+        return scored(fit, rows, columns, ["score", "prediction"])
     model = RandomForestRegressor(
         featuresCol="_x", labelCol=target, predictionCol=out, numTrees=trees, maxDepth=depth, seed=seed
     )
-    return model.fit(vectorise(train, columns)).transform(vectorise(rows, columns)).drop("_x")
+    return scored(model.fit(vectorise(train, columns)), rows, columns, [out])
 
 
 def boosted(
@@ -88,7 +99,7 @@ def boosted(
     model = GBTRegressor(
         featuresCol="_x", labelCol=target, predictionCol=out, maxIter=rounds, maxDepth=depth, seed=seed
     )
-    return model.fit(vectorise(train, columns)).transform(vectorise(rows, columns)).drop("_x")
+    return scored(model.fit(vectorise(train, columns)), rows, columns, [out])
 
 
 def poisson_arrivals(train: DataFrame, rows: DataFrame, columns: Sequence[str], count: str) -> DataFrame:
@@ -98,7 +109,7 @@ def poisson_arrivals(train: DataFrame, rows: DataFrame, columns: Sequence[str],
         maxIter=50, regParam=1e-6,
     )
     fit = glm.fit(vectorise(train, columns))
-    return fit.transform(vectorise(rows, columns)).withColumn("std", F.sqrt("mean")).drop("_x")
+    return scored(fit, rows, columns, ["mean"]).withColumn("std", F.sqrt("mean"))
 
 
 def gauss_heteroscedastic(train: DataFrame, rows: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
@@ -109,8 +120,8 @@ def gauss_heteroscedastic(train: DataFrame, rows: DataFrame, columns: Sequence[s
     residual = F.col(target) - F.col("mean")
     logs = mean.transform(x).withColumn("_lv", F.log(residual * residual + 1e-12) + 1.2703628454614782)
     spread = LinearRegression(featuresCol="_x", labelCol="_lv", predictionCol="_plv", solver="normal").fit(logs)
-    scored = spread.transform(mean.transform(vectorise(rows, columns)))
-    return scored.withColumn("std", F.exp(F.col("_plv") / 2)).drop("_x", "_plv")
+    both = scored(spread, scored(mean, rows, columns, ["mean"]), columns, ["_plv"])
+    return both.withColumn("std", F.exp(F.col("_plv") / 2)).drop("_plv")
 
 
 def grid_search(
@@ -138,9 +149,12 @@ def residual_hybrid(
     train: DataFrame, rows: DataFrame, columns: Sequence[str], target: str, reg: float, trees: int, depth: int, seed: int
 ) -> DataFrame:
     """Ridge, a forest on its residuals, and the sum of both."""
-    both = linear(train, train, columns, target, reg, "_lin").withColumn("_res", F.col(target) - F.col("_lin"))
-    base = linear(train, rows, columns, target, reg, "_lin")
-    added = forest(both.drop("_lin"), base, columns, "_res", trees, depth, seed, out="_add")
+    line = LinearRegression(
+        featuresCol="_x", labelCol=target, predictionCol="_lin", regParam=reg, elasticNetParam=0.0, solver="normal"
+    ).fit(vectorise(train, columns))
+    both = scored(line, train, columns, ["_lin"]).withColumn("_res", F.col(target) - F.col("_lin"))
+    base = scored(line, rows, columns, ["_lin"])
+    added = forest(both.where("_res is not null").drop("_lin"), base, columns, "_res", trees, depth, seed, out="_add")
     return added.withColumn("pred", F.col("_lin") + F.col("_add")).drop("_lin", "_add")
 
 
@@ -160,15 +174,14 @@ def stack(
     names = ["_b0", "_b1"]
     sd = out_of_fold.agg(*[F.stddev(F.col(target) - F.col(b)).alias(b) for b in names]).first()
     w = [1.0 / max(sd[b] or 0.0, 1e-9) for b in names]
-    top = LinearRegression(featuresCol="_s", labelCol=target, predictionCol="stacked", regParam=0.01, solver="normal")
-    join = VectorAssembler(inputCols=names, outputCol="_s")
-    fit = top.fit(join.transform(out_of_fold))
-    scored = fit.transform(join.transform(bases(train, rows)))
+    top = LinearRegression(featuresCol="_x", labelCol=target, predictionCol="stacked", regParam=0.01, solver="normal")
+    fit = top.fit(vectorise(out_of_fold, names))
+    done = scored(fit, bases(train, rows), names, ["stacked"])
     b0, b1 = F.col("_b0"), F.col("_b1")
     # The median of two base models is their mean.
-    return scored.withColumns({
+    return done.withColumns({
         "mean": (b0 + b1) / 2, "weighted": (b0 * w[0] + b1 * w[1]) / (w[0] + w[1]),
-    }).drop("_s", "_b0", "_b1")
+    }).drop("_b0", "_b1")
 
 
 def _lagged(y: np.ndarray, lags: Sequence[int], extra: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:

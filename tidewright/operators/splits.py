@@ -28,12 +28,13 @@ def group_split(df: DataFrame, group: str, share: float, seed: int, out: str = "
 def stratified_split(
     df: DataFrame, label: str, ident: str, share: float, seed: int, out: str = "part"
 ) -> DataFrame:
-    """Exactly floor(share * n) test rows per class, chosen in hash order. Hash cells keep one
-    class out of one task."""
-    h = df.withColumn("_h", hash31(ident, seed))
-    p = positions(h, [label], ["_h", ident], [idiv("_h", 1 << 11)], "_pos", total="_size")
+    """Exactly floor(share * n) test rows per class, chosen in hash order; null labels are a class of
+    their own. Hash cells keep one class out of one task."""
+    named = F.struct(F.col(label).isNull().alias("none"), F.coalesce(F.col(label).cast("string"), F.lit("")).alias("name"))
+    h = df.withColumns({"_h": hash31(ident, seed), "_class": named})
+    p = positions(h, ["_class"], ["_h", ident], [idiv("_h", 1 << 11)], "_pos", total="_size")
     test = F.col("_pos") <= F.floor(F.col("_size") * share)
-    return p.withColumn(out, F.when(test, "test").otherwise("train")).drop("_h", "_pos", "_size")
+    return p.withColumn(out, F.when(test, "test").otherwise("train")).drop("_h", "_class", "_pos", "_size")
 
 
 def kfold(df: DataFrame, ident: str | Column, k: int, seed: int, out: str = "fold") -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import attach, idiv
+from ..functions.exprs import attach, idiv, scalar_row
+from ..session import settle
 from .ordered import CHUNK_ROWS, framed
 
 
@@ -148,71 +149,77 @@ def partial_autocorrelation(acf: DataFrame, key: str) -> DataFrame:
     )
 
 
+FAN = 64
+
+
 def ewm_mean(
     df: DataFrame, key: Sequence[str], pos: str, value: str, alpha: float, out: str,
-    chunk: int = 64,
+    chunk: int = FAN,
 ) -> DataFrame:
     """Adjusted exponentially weighted mean; weights also decay across null rows.
 
-    Numerator and denominator are linear recurrences, so a chunk is summarised by its
-    decayed sums, the chunk table is folded once per key, and each row combines the state
-    at its chunk's start with its local frame. Weights only ever shrink: no overflow.
+    (numerator, denominator) is a linear recurrence. A chunk of rows is summarised by its decayed
+    sums, ``FAN`` chunks by theirs, and so on until a key has ``FAN`` summaries or fewer; the state
+    at each start is then handed down level by level, and every chunk is folded once. No group
+    exceeds ``chunk`` or ``FAN`` rows and nothing is forgotten, whatever the key's length.
     """
-    key = list(key)
-    keep = 1.0 - alpha
+    key, keep = list(key), 1.0 - alpha
     valid = F.col(value).isNotNull()
-    base = df.withColumn("_chunk", idiv(F.col(pos) - 1, chunk)).withColumn(
-        "_i", (F.col(pos) - 1) % chunk
-    )
-    left = F.pow(F.lit(keep), (F.lit(chunk - 1) - F.col("_i")).cast("double"))
+    base = df.withColumn("_chunk", idiv(F.col(pos) - 1, chunk))
+    left = F.pow(F.lit(keep), (F.lit(chunk - 1) - (F.col(pos) - 1) % chunk).cast("double"))
     ends = base.groupBy(*key, "_chunk").agg(
         F.sum(F.when(valid, F.col(value) * left).otherwise(0.0)).alias("_num"),
         F.sum(F.when(valid, left).otherwise(0.0)).alias("_den"),
     )
     carried = _carry_decay(ends, key, keep**chunk)
-    here = Window.partitionBy(*key, "_chunk").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    items = F.collect_list(F.struct(F.col("_i").alias("i"), F.col(value).alias("x"))).over(here)
-    decay = F.pow(F.lit(keep), (F.col("_i") + 1).cast("double"))
-    local = F.aggregate(
-        "_items",
-        F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("d")),
-        lambda a, s: F.struct(
-            (a["n"] * keep + F.coalesce(s["x"], F.lit(0.0))).alias("n"),
-            (a["d"] * keep + F.when(s["x"].isNotNull(), 1.0).otherwise(0.0)).alias("d"),
-        ),
-    )
-    rows = base.withColumn("_items", items).withColumn("_local", local).drop("_items")
-    joined = rows.join(carried, [*key, "_chunk"])
-    num = F.col("_local.n") + decay * F.col("_num0")
-    den = F.col("_local.d") + decay * F.col("_den0")
-    return joined.withColumn(out, F.try_divide(num, den)).drop(
-        "_chunk", "_i", "_local", "_num0", "_den0"
+    row = F.struct(F.col(pos).alias("_p"), F.col(value).cast("double").alias("_x"), F.struct(*df.columns).alias("_row"))
+    rows = base.groupBy(*key, "_chunk").agg(F.collect_list(row).alias("_rows"))
+    rows = rows.withColumn("_rows", F.array_sort("_rows", lambda a, b: F.signum(a["_p"] - b["_p"]).cast("int")))
+    state = F.struct(F.col("_num0").alias("n"), F.col("_den0").alias("d"))
+
+    def step(acc: Column, r: Column) -> Column:
+        gap = F.pow(F.lit(keep), (r["_p"] - acc["p"]).cast("double"))
+        n = acc["s"]["n"] * gap + F.coalesce(r["_x"], F.lit(0.0))
+        d = acc["s"]["d"] * gap + F.when(r["_x"].isNotNull(), 1.0).otherwise(0.0)
+        now = F.struct(n.alias("n"), d.alias("d"))
+        mean = F.struct(r["_row"].alias("row"), F.try_divide(n, d).alias("mean"))
+        return F.struct(r["_p"].alias("p"), now.alias("s"), F.concat(acc["out"], F.array(mean)).alias("out"))
+
+    kind = f"array<struct<row:{df.schema.simpleString()},mean:double>>"
+    before = (F.col("_chunk") * chunk).cast(dict(df.dtypes)[pos])
+    start = F.struct(before.alias("p"), state.alias("s"), F.array().cast(kind).alias("out"))
+    done = rows.join(carried, [*key, "_chunk"]).select(
+        F.explode(F.aggregate("_rows", start, step, lambda acc: acc["out"])).alias("_r")
     )
+    return done.select("_r.row.*", F.col("_r.mean").alias(out))
 
 
 def _carry_decay(ends: DataFrame, key: list[str], factor: float) -> DataFrame:
-    """State before each chunk: sum over earlier chunks of end state * factor ** distance.
-
-    Only as many chunks back as can still matter in double precision are read, so the frame
-    is bounded and needs no unbounded fold.
-    """
-    import math
-
-    reach = max(1, math.ceil(800.0 / max(-math.log(factor), 1e-12))) if 0 < factor < 1 else 1
-    reach = min(reach, 1 << 20)
-    w = Window.partitionBy(*key).orderBy("_chunk").rangeBetween(-reach, -1)
-    past = F.collect_list(F.struct("_chunk", "_num", "_den")).over(w)
+    """State before each chunk: sum over earlier chunks of end state * factor ** distance."""
+    ends = settle(ends, "ewm")
+    last = ends.agg(F.max("_chunk")).first()[0]
+    upper = ends.withColumns({"_upper": idiv("_chunk", FAN), "_at": F.col("_chunk") % FAN})
+    if last is None or last < FAN:
+        upper = upper.withColumns({"_n0": F.lit(0.0), "_d0": F.lit(0.0)})
+    else:
+        rest = F.pow(F.lit(factor), (F.lit(FAN - 1) - F.col("_at")).cast("double"))
+        sums = upper.groupBy(*key, F.col("_upper").alias("_chunk")).agg(
+            F.sum(F.col("_num") * rest).alias("_num"), F.sum(F.col("_den") * rest).alias("_den")
+        )
+        above = _carry_decay(sums, key, factor**FAN)
+        upper = upper.join(above.toDF(*key, "_upper", "_n0", "_d0"), [*key, "_upper"])
+    w = Window.partitionBy(*key, "_upper").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    past = F.collect_list(F.struct("_at", "_num", "_den")).over(w)
 
-    def total(field: str) -> Column:
+    def total(field: str, start: str) -> Column:
+        from_above = F.col(start) * F.pow(F.lit(factor), F.col("_at").cast("double"))
         return F.aggregate(
-            "_past",
-            F.lit(0.0),
-            lambda a, s: a
-            + s[field] * F.pow(F.lit(factor), (F.col("_chunk") - s["_chunk"] - 1).cast("double")),
-        )
+            "_past", from_above,
+            lambda a, s: a + s[field] * F.pow(F.lit(factor), (F.col("_at") - s["_at"] - 1).cast("double")),
+        )
 
-    return ends.withColumn("_past", past).select(
-        *key, "_chunk", total("_num").alias("_num0"), total("_den").alias("_den0")
+    return upper.withColumn("_past", past).select(
+        *key, "_chunk", total("_num", "_n0").alias("_num0"), total("_den", "_d0").alias("_den0")
     )
 
 
@@ -244,11 +251,13 @@ def chronological_split(
 
 
 def walk_forward(
-    df: DataFrame, year: str, label: str, first_test: int, last_test: int, span: int
+    df: DataFrame, year: str, label: str, first_test: int, span: int
 ) -> DataFrame:
     """Expanding training years against the next ``span`` test years, one row copy per fold
-    it takes part in; folds whose train or test part has one class only are skipped."""
-    folds = F.sequence(F.lit(first_test), F.lit(last_test), F.lit(span))
+    it takes part in. Folds reach to the newest year, so the last may be short; folds whose train or
+    test part has one class only are skipped."""
+    newest = scalar_row(df.agg(F.max(year).alias("y")))["y"]
+    folds = F.when(newest >= first_test, F.sequence(F.lit(first_test), newest, F.lit(span)))
     rows = df.withColumn("fold", F.explode(folds)).where(F.col(year) < F.col("fold") + span)
     rows = rows.withColumn("part", F.when(F.col(year) < F.col("fold"), "train").otherwise("test"))
     ok = (

@@ -70,7 +70,7 @@ def den_kde_kernels(t):
     return out(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
-WLEN, STRIDE = 4, 12
+WLEN = 4
 
 
 def grid_windows(t):
@@ -81,13 +81,13 @@ def grid_windows(t):
 @query(
     "den_kde_window",
     f"""WITH w AS (SELECT key, h, pos, x FROM (SELECT key, h, pos, list(CAST(n AS DOUBLE)) OVER (PARTITION BY key ORDER BY pos ROWS BETWEEN {WLEN - 1} PRECEDING AND CURRENT ROW) AS x FROM grid) WHERE pos >= {WLEN}),
-        p AS (SELECT a.key, a.h, -0.5 * power(list_distance(a.x, b.x) / 1.5, 2) AS e FROM w a JOIN w b ON a.key = b.key AND b.h < {HCUT} AND (b.pos - {WLEN}) % {STRIDE} = 0),
+        p AS (SELECT a.key, a.h, -0.5 * power(list_distance(a.x, b.x) / 1.5, 2) AS e FROM w a JOIN w b ON a.key = b.key AND b.h < {HCUT}),
         q AS (SELECT *, max(e) OVER (PARTITION BY key, h) AS m0 FROM p)
         SELECT key, h, {rnd(lse('e', 'count(*)', WLEN, '1.5::DOUBLE'))} AS signal FROM q GROUP BY 1, 2""",
 )
 def den_kde_window(t):
     w = grid_windows(t)
-    train = w.where((F.col("h") < idiv(cut(), HOUR)) & ((F.col("pos") - WLEN) % STRIDE == 0))
+    train = w.where(F.col("h") < idiv(cut(), HOUR))
     s = density.kde_signal(train_points(train, ["key"], "window"), w, ["key"], "window", 1.5, dims=WLEN)
     return out(s.select("key", "h", "signal"))
 

@@ -16,11 +16,15 @@ _NB = """n AS (SELECT *, max(CASE WHEN v IS NOT NULL THEN pos END) OVER (PARTITI
 _LINEAR = "CASE WHEN v IS NOT NULL THEN v WHEN np IS NULL THEN pv ELSE pv + (nv - pv) / nullif(np - pp, 0) * (pos - pp) END"
 _NEAREST = "CASE WHEN v IS NOT NULL THEN v WHEN np IS NULL OR pp IS NULL THEN NULL WHEN pos - pp <= np - pos THEN pv ELSE nv END"
 GP = dict(
-    segment=168, amplitude=400.0, length=3.0, period=24.0, period_length=1.0,
+    amplitude=400.0, length=3.0, period=24.0, period_length=1.0,
     period_amplitude=100.0, noise=900.0,
 )
 
 
+def week():
+    return F.expr("(pos - 1) div 168").alias("week")
+
+
 def neighbours_sql(src="grid_masked"):
     return _NB.replace("{src}", src)
 
@@ -111,7 +115,7 @@ def fill_key_forward_median(t):
        l AS (SELECT disc, tax, psize, dist, sum(n) AS n, sum(total) AS total FROM p GROUP BY 1, 2, 3, 4),
        u AS (SELECT *, least(n, 5 - coalesce(sum(n) OVER (PARTITION BY disc, tax, psize ORDER BY dist ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS k FROM l),
        e AS (SELECT disc, tax, psize, sum(k * total / n) / sum(k) AS est FROM u WHERE k > 0 GROUP BY 1, 2, 3)
-       SELECT oid, ln, coalesce(qty, greatest(0, round(est))) AS filled FROM b LEFT JOIN e USING (disc, tax, psize)""",
+       SELECT oid, ln, coalesce(qty, CASE WHEN est IS NOT NULL THEN greatest(0, round_even(est, 0)) END) AS filled FROM b LEFT JOIN e USING (disc, tax, psize)""",
 )
 def fill_knn(t):
     f = t.feat_table(masked=True).select("oid", "ln", "qty", "disc", "tax", "psize")
@@ -127,15 +131,16 @@ def fill_regression(t):
 
 @query("fill_gp_fixed")
 def fill_gp_fixed(t):
-    g = t.grid(masked=True).select("key", "h", "pos", "v")
-    return out(fill.gp_posterior(g, "key", "pos", "v", **GP).select("key", "h", "gp_mean", "gp_std"))
+    """Each week of a key is a series of its own."""
+    g = t.grid(masked=True).select("key", "h", "pos", "v", week())
+    return out(fill.gp_posterior(g, ["key", "week"], "pos", "v", **GP).select("key", "h", "gp_mean", "gp_std"))
 
 
 @query("fill_scaled_by_slot")
 def fill_scaled_by_slot(t):
-    g = t.grid(masked=True).select("key", "h", "pos", "v").withColumn("slot", F.col("h") % 24)
+    g = t.grid(masked=True).select("key", "h", "pos", "v", week()).withColumn("slot", F.col("h") % 24)
     unit = dict(GP, amplitude=0.5, period_amplitude=0.2, noise=1.0)
-    return out(fill.fill_scaled_by_slot(g, "key", "pos", "v", "slot", "filled", unit).select("key", "h", "filled"))
+    return out(fill.fill_scaled_by_slot(g, ["key", "week"], "pos", "v", "slot", "filled", unit).select("key", "h", "filled"))
 
 
 _MASKED = f"mk AS (SELECT key, h, pos, v AS truth, CASE WHEN {h31('h', 5)} / 2147483648.0 >= 0.2 THEN v END AS v FROM grid)"

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash31, unit_hash
+from ..functions.exprs import hash31, scalar_row, unit_hash
 from ..operators import alarms, models, relevance
-from ..session import settle, spread
+from ..session import settle
 from .bindings import FEATURES, h31, rnd
 from .q_sources import features_long, out
 from .q_windows import sales_positions
@@ -18,7 +18,7 @@ def feat(t):
     """FEAT with an id from all columns: rows of equal id are equal, so ties do no harm."""
     f = t.feat()
     f = f.withColumn("id", F.xxhash64(*f.columns)).withColumn("kprice", F.col("price") / 1000.0)
-    return settle(spread(f, t.lineitem), "feat")
+    return settle(f, "feat")
 
 
 def halves(f, seed=51):
@@ -188,7 +188,8 @@ def ml_poisson_arrivals(t):
     g = t.grid(total=True).withColumn("weekday", ((F.col("h") / 24).cast("bigint") + 3) % 7 / 6.0)
     hours = [f"hour_{i}" for i in range(1, 24)]
     g = g.withColumns({h: F.when(F.col("h") % 24 == i + 1, 1.0).otherwise(0.0) for i, h in enumerate(hours)})
-    p = models.poisson_arrivals(g.where(F.col("pos") <= 500), g, [*hours, "weekday"], "n")
+    past = g.where(F.col("pos") <= 0.7 * scalar_row(g.agg(F.max("pos").alias("n")))["n"])
+    p = models.poisson_arrivals(past, g, [*hours, "weekday"], "n")
     return out(p.select("h", "n", "mean", "std"), 4)
 
 

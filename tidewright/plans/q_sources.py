@@ -74,13 +74,9 @@ def src_windows_json(t):
          sum(l_quantity) AS qty FROM lineitem JOIN sh ON l_returnflag = src GROUP BY 1, 2""",
 )
 def src_multifile_tagged(t):
-    parts = [
-        t.lineitem.where(F.col("l_returnflag") == flag).select(
-            F.lit(flag).alias("src"), F.col("l_suppkey").alias("machine"), F.col("l_quantity").alias("qty")
-        )
-        for flag in ("A", "N", "R")
-    ]
-    tagged = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    tagged = t.lineitem.select(
+        F.col("l_returnflag").alias("src"), F.col("l_suppkey").alias("machine"), F.col("l_quantity").alias("qty")
+    )
     shifted = readers.shift_ids(tagged, "src", "machine")
     return out(shifted.groupBy("src", "machine").agg(F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty")))
 

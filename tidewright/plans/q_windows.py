@@ -227,13 +227,13 @@ def win_chrono_split(t):
 
 @query(
     "win_walk_forward",
-    """WITH p AS (SELECT zone, year, label FROM panel), f AS (SELECT unnest([1997, 1999]) AS fold),
+    """WITH p AS (SELECT zone, year, label FROM panel), f AS (SELECT unnest(generate_series(1997, (SELECT max(year) FROM panel), 2)) AS fold),
        r AS (SELECT zone, year, label, fold, CASE WHEN year < fold THEN 'train' ELSE 'test' END AS part FROM p, f WHERE year < fold + 2),
        ok AS (SELECT fold FROM (SELECT fold, part, count(DISTINCT label) AS c FROM r GROUP BY 1, 2) GROUP BY 1 HAVING count(*) = 2 AND min(c) = 2)
        SELECT CAST(fold AS BIGINT) AS fold, part, zone, year FROM r WHERE fold IN (SELECT fold FROM ok)""",
 )
 def win_walk_forward(t):
-    folds = windows.walk_forward(t.panel(), "year", "label", 1997, 2000, 2)
+    folds = windows.walk_forward(t.panel(), "year", "label", 1997, 2)
     return folds.select(F.col("fold").cast("bigint").alias("fold"), "part", "zone", F.col("year").cast("bigint").alias("year"))
 
 

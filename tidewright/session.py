@@ -41,13 +41,6 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Spread rows over all cores when their ``scan`` (a plain table) has too few splits to do
-    so itself, as a single small file has. A large input is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
-
-
 def settle(df: DataFrame, tag: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back: its lineage ends
     there, later uses do not compute it again, and it survives lost executors."""
