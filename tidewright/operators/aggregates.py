@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import idiv, log_factorial, sample_skewness, scalar_row
+from .gram import cross_products
 from .quantiles import exact_quantiles, melt
 
 
@@ -111,32 +113,14 @@ def histogram2d(df: DataFrame, x: str, y: str, xbins: int, ybins: int) -> DataFr
 
 
 def correlation_long(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
-    """All pairwise Pearson coefficients (a < b).
-
-    By default each pair uses its own complete rows, in one pass. With ``complete`` only rows
-    without any null count; then centred products suffice, a third of the running state, which
-    is faster although the means are read first.
-    """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    if complete:
-        rows = df.select(*columns).na.drop()
-        means = scalar_row(rows.agg(*[F.avg(c).alias(c) for c in columns]))
-        d = rows.withColumn("_m", means).select(*[(F.col(c) - F.col("_m")[c]).alias(c) for c in columns])
-        sums = d.agg(
-            *[F.sum(F.col(c) * F.col(c)).alias(f"_s_{c}") for c in columns],
-            *[F.sum(F.col(a) * F.col(b)).alias(f"_p_{a}__{b}") for a, b in pairs],
-        )
-        one = sums.select(*[
-            F.try_divide(f"_p_{a}__{b}", F.sqrt(F.col(f"_s_{a}") * F.col(f"_s_{b}"))).alias(f"{a}__{b}")
-            for a, b in pairs
-        ])
-    else:
-        one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("r"))
-        for a, b in pairs
-    ])
-    return one.select(F.explode(rows).alias("_r")).select("_r.*")
+    """All pairwise Pearson coefficients (a < b), null where a column doesn't vary. By default each pair uses
+    its own complete rows, with ``complete`` only the rows without any null."""
+    r = cross_products(df, columns, complete).correlation()
+    rows = [
+        (a, b, None if np.isnan(r[i, i + 1 + j]) else float(r[i, i + 1 + j]))
+        for i, a in enumerate(columns) for j, b in enumerate(columns[i + 1 :])
+    ]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def profile_by(df: DataFrame, slots: dict[str, Column], value: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31, idiv, scalar_row
 from .alarms import roc_auc
+from .gram import cross_products
 from .ordered import positions
 from .quantiles import melt
 
@@ -40,23 +41,13 @@ def top_features(scores: DataFrame, k: int) -> DataFrame:
 
 
 def gram(df: DataFrame, columns: Sequence[str], target: str) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """X'X, X'y, y'y and n (X with a leading 1) from one aggregate; d * d numbers reach the
-    driver, whatever the number of rows."""
-    names = ["_one", *columns]
-    d = df.select(F.lit(1.0).alias("_one"), *[F.col(c).cast("double").alias(c) for c in [*columns, target]]).na.drop()
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    row = d.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(target) * F.col(target)).alias("yy"),
-        *[F.sum(F.col(a) * F.col(b)).alias(f"g_{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.sum(F.col(a) * F.col(target)).alias(f"t_{i}") for i, a in enumerate(names)],
-    ).first()
-    x = np.zeros((len(names), len(names)))
-    at = {n: i for i, n in enumerate(names)}
-    for i, (a, b) in enumerate(pairs):
-        x[at[a], at[b]] = x[at[b], at[a]] = row[f"g_{i}"] or 0.0
-    xy = np.array([row[f"t_{i}"] or 0.0 for i in range(len(names))])
-    return x, xy, float(row["yy"] or 0.0), int(row["n"])
+    """X'X, X'y, y'y and n (X with a leading 1) of the complete rows, from products by partition."""
+    p = cross_products(df, [*columns, target], complete=True)
+    n, mean = int(p.both[0, 0]), p.mean
+    raw = p.products + n * np.outer(mean, mean)
+    x = np.zeros((len(columns) + 1, len(columns) + 1))
+    x[0, 0], x[0, 1:], x[1:, 0], x[1:, 1:] = n, n * mean[:-1], n * mean[:-1], raw[:-1, :-1]
+    return x, np.r_[n * mean[-1], raw[:-1, -1]], float(raw[-1, -1]), n
 
 
 def solve(x: np.ndarray, xy: np.ndarray, keep: Sequence[int], ridge: float = 1e-9) -> np.ndarray:
