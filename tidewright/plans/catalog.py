@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     q_aggregates,
     q_alarms,
+    q_closed,
     q_density,
     q_fill,
     q_models,
