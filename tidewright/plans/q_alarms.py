@@ -100,7 +100,7 @@ def anomalous(t):
 def join_tolerance(t):
     near = joins.near_flags(
         anomalous(t), ["key"], "pos",
-        {"near_anom": F.col("anom"), "near_pred": F.when(F.col("value") > 120, 1).otherwise(0)}, TOL, 1024,
+        {"near_anom": F.col("anom"), "near_pred": F.when(F.col("value") > 120, 1).otherwise(0)}, TOL,
     )
     kinds = F.array_compact(F.array(
         F.when(F.col("value") > 120, F.when(F.col("near_anom") == 1, "tp").otherwise("fp")),
@@ -226,7 +226,7 @@ def thr_best_windows(t):
         FROM g, n GROUP BY 1, 2""",
 )
 def thr_sweep_tolerance(t):
-    return alarms.sweep_tolerance(anomalous(t), ["key"], "pos", "value", "anom", TOL, THR, 1.0, 5.0, rows=1024)
+    return alarms.sweep_tolerance(anomalous(t), ["key"], "pos", "value", "anom", TOL, THR, 1.0, 5.0)
 
 
 def _rowwise(op):

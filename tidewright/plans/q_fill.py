@@ -54,7 +54,7 @@ def fill_linear(t):
         SELECT key, event_id, {rnd('CASE WHEN v IS NOT NULL THEN v WHEN np IS NULL THEN pv ELSE pv + (nv - pv) / nullif(nt - pt, 0) * (t - pt) END')} AS value_time FROM tt""",
 )
 def fill_time(t):
-    f = fill.fill_neighbours(t.ser_pos(masked=True), ["key"], "pos", "value", ["time"], axis="t", rows=512)
+    f = fill.fill_neighbours(t.ser_pos(masked=True), ["key"], "pos", "value", ["time"], axis="t")
     return out(f.select("key", "event_id", "value_time"))
 
 

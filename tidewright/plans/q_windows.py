@@ -36,7 +36,7 @@ def win_lag_features(t):
     "SELECT key, event_id, lag(value, 1) OVER w AS value_lag_1, lag(value, 7) OVER w AS value_lag_7 FROM ser_pos WINDOW w AS (PARTITION BY key ORDER BY pos)",
 )
 def win_lag_series(t):
-    lagged = windows.lag_by_position(t.ser_pos(), ["key"], "pos", "value", [1, 7], rows=256)
+    lagged = windows.lag_by_position(t.ser_pos(), ["key"], "pos", "value", [1, 7])
     return lagged.select("key", "event_id", "value_lag_1", "value_lag_7")
 
 
@@ -111,7 +111,7 @@ def win_rolling_centered(t):
          FROM ser_pos) WHERE pos >= 8""",
 )
 def win_sliding_array(t):
-    s = windows.sliding_arrays(t.ser_pos(), ["key"], "pos", ["value"], 8, rows=1024)
+    s = windows.sliding_arrays(t.ser_pos(), ["key"], "pos", ["value"], 8)
     cents = F.transform("window", lambda x: F.round(x * 100).cast("bigint").cast("string"))
     return s.select("key", "event_id", F.array_join(cents, ",").alias("win"))
 
