@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .common import LOCATOR, located, whole_text
+from .common import LOCATOR, located, slices, whole_text
 from .html_tree import Element, containers, digest_subtrees, parse, text_of
 
 PAGES, SHARE = 5, 0.002
@@ -63,7 +63,7 @@ def subtrees(pages: DataFrame) -> DataFrame:
     names = [*LOCATOR, "host", "article", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             at, keys, digests = [], [], []
             for i, page in enumerate(b.column("html")):
                 root = parse(page.as_py())
@@ -113,13 +113,13 @@ def main_texts(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
+        for b in slices(batches):
             z = pa.array([pack(h.as_py().encode()) for h in b.column("html")], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:4], z], [*LOCATOR, "page_id", "url", "z"])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for b in batches:
+        for b in slices(batches):
             texts = []
             for z, gone in zip(b.column("z"), b.column("dropped")):
                 digests = {d & (2**64 - 1) for d in gone.as_py() or ()}
