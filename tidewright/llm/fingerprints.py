@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, whole_text
+from .common import partitions, slices, whole_text
 from .iblt import CELLS, Paragraphs, differing, likeness, sketch
 
 AT_ONCE = 1000
@@ -66,7 +66,7 @@ def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ce
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
+        for b in slices(batches):
             ids = b.column("ordered").to_numpy()
             part = np.searchsorted(starts, ids)
             first = np.flatnonzero(starts[part] == ids)

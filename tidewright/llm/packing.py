@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from ..operators.ordered import positions
 from ..session import settle
-from .common import FILE, LOCATOR, located, whole_text
+from .common import FILE, LOCATOR, located, slices, whole_text
 from .tokens import word_cache
 
 CAPACITY, GROUPS, LARGE = 2048, 512, 1 / 4
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_cache(vocab).encode
-        for b in batches:
+        for b in slices(batches):
             own, number, length, crc = [], [], [], []
             for i, text in enumerate(b.column("text")):
                 ids = encode(text.as_py()) + b"\0\0\0\0"

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .common import LOCATOR, located, whole_text
+from .common import LOCATOR, located, slices, whole_text
 from .components import components, stars
 
 BYTES, INDEXED, SHARED_KEY = 8, 7, 3
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = located(docs).select(*LOCATOR, F.col(id_col).cast("bigint").alias("id"), whole_text(text_col).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = pa.array([fingerprint(t.as_py()) for t in batch.column("text")], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], fps], [*LOCATOR, "id", "fp"])
 
