@@ -21,10 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOCATOR, located, whole_text
+from .common import LOCATOR, located, slices, whole_text
 
-PIECES = 1_000_000
-PAIRS = 2_000_000
+PIECES = 400_000
+PAIRS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -145,7 +145,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = encoder(ranks, pattern).encode
-        for b in batches:
+        for b in slices(batches):
             ids = pa.array([make(t.as_py()) for t in b.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:3], ids], [*LOCATOR, "id", "ids"])
 
@@ -157,7 +157,7 @@ def decoded(rows: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = encoder(ranks, pattern).decode
-        for b in batches:
+        for b in slices(batches):
             raw = pa.array([back(i.as_py()) for i in b.column("ids")], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, raw], [*LOCATOR, "id", "ids", "raw"])
 
