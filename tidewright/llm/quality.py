@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import slices, whole_text
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 BUCKETS = 1 << 14
 FACTORS = 8
 SCORE = "_fm_score"
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
     rows = texts.join(F.broadcast(known), "_id").select("_id", "_text", "_stated", "_label")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             made = [features(t.as_py(), s.as_py()) for t, s in zip(b.column("_text"), b.column("_stated"))]
             cols = [
                 b.column("_id").cast(pa.string()),
@@ -189,7 +189,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm = shared.value
-        for b in batches:
+        for b in slices(batches):
             stated = b.column("n_chars").cast(pa.int64()) if has_length else pa.nulls(b.num_rows)
             pairs = zip(b.column(text_col).cast(pa.string()), stated)
             made = [_sigmoid(margin(fm, *features(t.as_py() or "", s.as_py()))) for t, s in pairs]
