@@ -85,6 +85,23 @@ def test_copies_alone_reveal_nothing(spark):
     assert pii.find(plain(spark, texts)).where(F.size("term_spans") > 0).count() == 0
 
 
+def test_once_seen_entities_are_revealed_by_their_classes(spark):
+    """No address or number recurs, and the words lie far from them: the kind, a mail domain and a prefix do."""
+    far = " and so the plain words go on" * 12
+    texts = [f"letter {a}{b}{far}" for a in "abcdefghij" for b in range(100)]
+    texts += [f"Mailbox{far} u{i}@host{i}.example.com" for i in range(60)]
+    texts += [f"Guild{far} u{i}@guild.example.org" for i in range(40)]
+    texts += [f"Subnet{far} 10.77.{i}.9" for i in range(60)] + [f"letter{far} 11.{i}.3.9" for i in range(60)]
+    texts += [f"chance{far} v{i}@other{i}.example.com" for i in range(4)]
+    texts += [f"mixed{far} w{i}@more{i}.example.com" for i in range(20)] + [f"mixed{far} {i}" for i in range(20)]
+    found = pii.find(plain(spark, texts))
+    rows = found.select("id", F.explode("term_spans.value").alias("v")).collect()
+    assert {r["v"] for r in rows} == {"Mailbox", "Guild", "Subnet"}
+    assert len(rows) == 160
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(plain(spark, texts)).collect()}
+    assert clean[1000] == f"{far} [EMAIL]"
+
+
 def test_odd_rows(odd, nothing):
     rows = pii.find(odd).collect()
     assert len(rows) == len(ODD) and all(not r["spans"] for r in rows)

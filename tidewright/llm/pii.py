@@ -1,18 +1,21 @@
 """Personal data: patterns for protected entities, and information-theoretic sanitisation of the terms
 that reveal them.
 
-Protected entities are the matches of four fixed patterns. How strongly a term t reveals an entity e is
-estimated from their co-occurrence in the corpus (t within ``WINDOW`` code points of e, counts by
-document):
+Protected entities are the matches of four fixed patterns, each by its value and by the classes it belongs
+to: its kind, its mail domain or its number's prefix. A value seen once tells nothing about a term, its
+classes recur. How strongly a term t reveals e is estimated from their co-occurrence in whole documents:
 
-    PMI(e, t) = log(N df(e, t) / (df(e) df(t))),   IC(e) = log(N / df(e)),   disclosure = PMI / IC
+    PMI(e, t) = log(N P(e | t) / df(e)),   IC(e) = log(N / df(e)),   disclosure = PMI / IC
 
-A disclosure of 1 means that t never occurs without e. Terms at ``THRESHOLD`` or more, seen near
-the entity in at least ``SUPPORT`` different texts, are generalised to ``[TERM]`` wherever they occur;
-those of full disclosure are removed. Entities are generalised to their kind.
+For values P(e | t) is df(e, t) / df(t), for pairs seen in at least ``SUPPORT`` different texts. For classes
+it is the lower end of the share's Wilson interval (``Z``) with different texts as trials, so that a
+few chance meetings reveal nothing. A disclosure of 1 means that t never occurs without e. Terms at
+``THRESHOLD`` or more are generalised to ``[TERM]`` wherever they occur; those that never occur without
+what they reveal are removed. Entities are generalised to their kind.
 
-Everything is built from DataFrame functions. Words are matched with candidate terms by an equi-join,
-counts are combined before each shuffle, so neither a frequent word nor a frequent entity gathers rows.
+Everything is built from DataFrame functions. Words meet their counts and the entities of their document by
+equi-joins, counts are combined before each shuffle, so neither a frequent word nor a frequent entity
+gathers rows. A pair whose counts alone keep it below the threshold is not formed.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .common import LOCATOR, located, whole_text
 
-THRESHOLD, SUPPORT, WINDOW = 0.9, 2, 80
+THRESHOLD, SUPPORT, Z = 0.9, 2, 3.09
 KINDS = ("email", "ip", "card", "phone")
 
 # A match can only begin where a run of its characters begins or the last match ended, so the
@@ -60,6 +63,12 @@ _VALID = {
     "phone": lambda v: F.length(_digits(v)).between(9, 15),
 }
 _VALUE = {"email": F.lower, "ip": lambda v: v, "card": _digits, "phone": _digits}
+_PREFIX = {
+    "email": lambda v: F.substring_index(v, "@", -1),
+    "ip": lambda v: F.substring_index(v, ".", 2),
+    "card": lambda v: F.substring(v, 1, 6),
+    "phone": lambda v: F.substring(v, 1, 4),
+}
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
@@ -109,33 +118,6 @@ def _matches(text: Column, pattern: Column | str, rank: int, kind: str) -> Colum
     return F.coalesce(_cut(text, pattern, placed), F.array().cast(_SPAN)).cast(_SPAN)
 
 
-def _contexts(text: Column, kind: str) -> Column:
-    """(entity, near) of a kind's entities: the normal form, and the distinct words within ``WINDOW``
-    code points on either side up to the next match of the kind. E-mail addresses are no
-    words; what the window's edge may have cut is left out."""
-
-    def near(found: Column, around: Column) -> Column:
-        sides = F.zip_with(
-            F.slice(around, F.lit(1), F.size(found)), F.slice(around, F.lit(2), F.size(found)),
-            lambda a, b: F.concat(
-                F.regexp_replace(F.right(a, F.lit(WINDOW)), F.when(F.length(a) > WINDOW, r"^\S+").otherwise(r"^$"), ""),
-                F.lit(" "),
-                F.regexp_replace(F.left(b, F.lit(WINDOW)), F.when(F.length(b) > WINDOW, r"\S+$").otherwise(r"^$"), ""),
-            ),
-        )
-        pairs = F.zip_with(found, sides, lambda m, s: F.struct(m.alias("value"), s.alias("side")))
-        return F.transform(
-            F.filter(pairs, lambda p: _VALID[kind](p["value"])),
-            lambda p: F.struct(
-                F.concat(F.lit(f"{kind}:"), _VALUE[kind](p["value"])).alias("entity"),
-                _words(F.regexp_replace(p["side"], r"\S+@\S+", " ")).alias("near"),
-            ),
-        )
-
-    kinds = "array<struct<entity:string,near:array<string>>>"
-    return F.coalesce(F.when(_guard(text, kind), _cut(text, _PATTERN[kind], near)), F.array().cast(kinds))
-
-
 def _guard(text: Column, kind: str) -> Column:
     """A cheap condition that every text with a match meets."""
     if kind == "email":
@@ -176,25 +158,61 @@ def _words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= 3)
 
 
+def _plain_words(text: Column) -> Column:
+    """The words outside e-mail addresses."""
+    return _words(F.when(_guard(text, "email"), F.regexp_replace(text, _PATTERN["email"], " ")).otherwise(text))
+
+
+def _entities(docs: DataFrame) -> DataFrame:
+    """(doc, entity, single): the values (``single``) and classes in each document, once."""
+    seen = docs.select("doc", F.explode("spans").alias("s")).select("doc", "s.kind", "s.value")
+    normal = prefix = F.lit(None).cast("string")
+    for kind in KINDS:
+        this, value = F.col("kind") == kind, _VALUE[kind](F.col("value"))
+        normal = F.when(this, value).otherwise(normal)
+        prefix = F.when(this, _PREFIX[kind](value)).otherwise(prefix)
+
+    def held(entity: Column, single: bool) -> Column:
+        return F.struct(entity.alias("entity"), F.lit(single).alias("single"))
+
+    named = [held(F.concat("kind", F.lit(":"), normal), True), held(F.concat("kind", F.lit("^"), prefix), False), held(F.col("kind"), False)]
+    return seen.select("doc", F.explode(F.array(*named)).alias("e")).select("doc", "e.*").distinct()
+
+
+def _wilson(share: Column, trials: Column) -> Column:
+    """Lower end of the Wilson interval of a share."""
+    z2 = Z * Z
+    half = Z * F.sqrt(share * (1 - share) / trials + z2 / (4 * trials * trials))
+    return (share + z2 / (2 * trials) - half) / (1 + z2 / trials)
+
+
 def disclosing_terms(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(term, full): terms that reveal some entity of the corpus; ``docs`` has locator, text, spans."""
-    holding = docs.where(F.size("spans") > 0)
-    contexts = F.concat(*[_contexts(F.col("text"), kind) for kind in KINDS])
-    seen = holding.select(*LOCATOR, F.xxhash64("text").alias("h"), F.explode(contexts).alias("c"))
-    seen = seen.select(*LOCATOR, "h", "c.entity", "c.near")
-    near = settle(seen.select(*LOCATOR, "h", "entity", F.explode_outer("near").alias("term")).distinct(), "near")
-    of_entity = near.select(*LOCATOR, "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    texts = near.where("term is not null").select("entity", "term", "h").distinct()
-    often = texts.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
-    together = near.select(*LOCATOR, "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    pairs = settle(together.join(often, ["entity", "term"]).join(of_entity, "entity"), "pairs")
-    candidates = settle(pairs.select("term").distinct(), "terms")
-    words = docs.select(F.explode(_words(F.col("text"))).alias("term"))
-    of_term = words.join(candidates, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    rated = pairs.join(of_term, "term").where(F.col("n_e") < total)
-    pmi = F.log(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    rated = rated.withColumn("disclosure", pmi / F.log(F.lit(float(total)) / F.col("n_e")))
+    total = float(docs.count())
+    holding = docs.where(F.size("spans") > 0).withColumn("doc", F.xxhash64(*LOCATOR))
+    # one document stands for all copies of its text
+    texts = holding.select("doc", F.xxhash64("text").alias("h")).groupBy("h")
+    texts = texts.agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")).select("doc", "copies")
+    entities = settle(_entities(holding).join(texts, "doc"), "entities")
+    of_entity = entities.groupBy("entity", "single").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("texts"))
+    # P(e | t) has to reach (n_e / N)^(1 - threshold); n_et <= n_e, and for classes the interval ends below n_t / (n_t + Z^2)
+    reach = F.pow(F.col("n_e") / total, F.lit(1 - threshold))
+    least = F.when(F.col("single"), F.lit(float(support))).otherwise(F.greatest(F.lit(float(support)), Z * Z * reach / (1 - reach) * (1 - 1e-9)))
+    of_entity = of_entity.where(F.col("n_e") < total).select("entity", "n_e", "texts", least.alias("least"), (F.col("n_e") / reach * (1 + 1e-9)).alias("most"))
+    of_entity = settle(of_entity.where(F.col("texts") >= F.col("least")).drop("texts"), "of_entity")
+    lowest, widest = of_entity.agg(F.min("least"), F.max("most")).first()
+    words = docs.select(F.explode(_plain_words(F.col("text"))).alias("term"))
+    of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t").between(lowest or 0.0, widest or 0.0))
+    near = holding.select("doc", F.explode(_plain_words(F.col("text"))).alias("term")).join(of_term, "term")
+    held = entities.join(of_entity, "entity")
+    pairs = near.join(held, "doc").where(F.col("n_t").between(F.col("least"), F.col("most")))
+    counts = pairs.groupBy("entity", "single", "term", "n_e", "n_t").agg(
+        F.sum("copies").cast("double").alias("n_et"), F.count(F.lit(1)).alias("texts")
+    )
+    share = F.col("n_et") / F.col("n_t")
+    share = F.when(F.col("single"), share).otherwise(_wilson(share, F.col("texts") / share))
+    pmi = F.log(F.lit(total) * share / F.col("n_e"))
+    rated = counts.where(F.col("texts") >= support).withColumn("disclosure", pmi / F.log(F.lit(total) / F.col("n_e")))
     full = F.max((F.col("n_et") == F.col("n_t")).cast("int")) == 1
     return rated.where(F.col("disclosure") >= threshold).groupBy("term").agg(full.alias("full"))
 
