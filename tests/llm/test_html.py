@@ -29,6 +29,23 @@ def test_one_page(body, want):
     assert html_text.main_text(page(0, body), set()) == want
 
 
+STORY = "<p>the story of this page is told at some length here</p>"
+WHOLE = [
+    f"<html><body class='no-sidebar with-comments'><article>{STORY}</article></body></html>",
+    f"<html class=login><body class=search><article>{STORY}</article></body></html>",
+    f"<body><div id='page-header-fixed'><div class=overlay><article>{STORY}</article></div></div></body>",
+    f"<body><article class='post has-social-share'>{STORY}</article></body>",
+    f"<body><article class='post social'>{STORY}</article></body>",
+    f"<body><div class='search'>{STORY}</div><div class=site-footer>us</div></body>",
+    f"<body><article>{STORY}<div class='post-comments'>{'<p>I disagree with all of it</p>' * 9}</div></article></body>",
+]
+
+
+@pytest.mark.parametrize("html", WHOLE)
+def test_class_words_cut_no_whole_page(html):
+    assert html_text.main_text(html, set()) == "the story of this page is told at some length here"
+
+
 def texts(spark, rows):
     df = spark.createDataFrame([(*r, "extra", "extra") for r in rows], SCHEMA)
     return {r["page_id"]: r["text"] for r in html_text.main_texts(df).collect()}

@@ -32,6 +32,9 @@ ASIDE_WORDS = frozenset(
     discussion disqus share sharing social follow newsletter subscribe signup login search related
     recommended recirculation pagination pager complementary contentinfo""".split()
 )
+COMMENT_WORDS = frozenset("comment comments reply replies discussion disqus".split())
+# Words that change nothing beside one of these: a class counts as a whole, "site-footer" but not "no-sidebar".
+NEUTRAL = frozenset("box bar wrapper wrap container block section area widget list group inner site page post article main".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
@@ -39,17 +42,24 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "words", "children", "digest")
+    __slots__ = ("tag", "words", "tokens", "children", "digest", "size", "plain", "kept")
 
     def __init__(self, tag: str, attributes: str):
         self.tag = tag
         found = _NAMED.findall(attributes) if "=" in attributes else ()
-        self.words = frozenset(w for _, value in found for w in _WORD.findall(value.lower()))
+        values = [value.strip("\"'").lower() for _, value in found]
+        self.words = frozenset(w for v in values for w in _WORD.findall(v))
+        self.tokens = [frozenset(_WORD.findall(t)) for v in values for t in v.split()]
         self.children: list[Element | str] = []
-        self.digest = 0
+        self.digest = self.size = 0
+        self.plain = self.kept = False
+
+    def named(self, words: frozenset[str] = ASIDE_WORDS) -> bool:
+        """Whether a whole class, id or role says that this is no part of the article."""
+        return not words.isdisjoint(self.words) and any(t & words and t <= words | NEUTRAL for t in self.tokens)
 
     def aside(self, words: frozenset[str] = ASIDE_WORDS) -> bool:
-        return self.tag in ASIDE or not words.isdisjoint(self.words)
+        return self.tag in ASIDE or not self.kept and self.named(words)
 
 
 def parse(page: str) -> Element:
@@ -129,7 +139,7 @@ def _inner(element: Element) -> Iterator[Element]:
 
 
 def digest_subtrees(root: Element) -> None:
-    """``digest`` of each subtree: tag, class and id words, and its children in order; text by its words."""
+    """Weighs the page and sets ``digest`` of each subtree: tag, class and id words, and its children in order; text by its words."""
     for e in _inner(root):
         h = xxhash.xxh64(e.tag.encode())
         h.update(" ".join(sorted(e.words)).encode())
@@ -140,6 +150,23 @@ def digest_subtrees(root: Element) -> None:
             else:
                 h.update(b"\1" + c.digest.to_bytes(8, "big"))
         e.digest = h.intdigest()
+    weigh(root)
+
+
+def weigh(root: Element) -> None:
+    """``size`` of each subtree's text, and ``kept`` where class words decide nothing: on the page's frame,
+    on what is or holds an article, and on what holds most of the page's text, unless it is the readers'
+    comments on an article."""
+    for e in _inner(root):
+        below = [c for c in e.children if not isinstance(c, str)]
+        if e.tag not in RAW:
+            e.size = sum(len("".join(c.split())) for c in e.children if isinstance(c, str)) + sum(c.size for c in below)
+        e.plain = e.tag == "article" and not e.named() or any(c.plain for c in below)
+    for e in _inner(root):
+        if e.words:
+            comments = root.plain and e.named(COMMENT_WORDS)
+            most = 2 * e.size > root.size and not comments
+            e.kept = e.tag in ("html", "body", "main") or e.plain or most or e.tag == "article" and not root.plain
 
 
 def containers(root: Element) -> list[Element]:
