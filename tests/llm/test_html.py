@@ -70,6 +70,27 @@ def test_templates_go_and_articles_stay(spark):
     assert texts(spark, rows) == want
 
 
+def test_long_template_short_stories(spark):
+    """Boilerplate longer than the stories goes; a copied story with another counter is one article and stays."""
+    legal = "<div><p>" + "all rights in these pages and their words remain with us " * 9 + "</p></div>"
+    tale = " ".join(f"tale{k}" for k in range(60))
+    rows, want = [], {}
+    for i in range(30):
+        rows.append((i, f"https://a.example/{i}", f"<body>{legal}<div><p>story {i} is <b>much</b> shorter than what the lawyers of site {i} have to say</p></div></body>"))
+        want[i] = f"story {i} is much shorter than what the lawyers of site {i} have to say"
+    for i in range(30, 60):
+        rows.append((i, f"https://b.example/{i}", f"<body><div><p>{tale}</p></div><div>seen {i} times</div></body>"))
+        want[i] = f"{tale} seen {i} times"
+    assert texts(spark, rows) == want
+
+
+def test_templates_of_large_hosts_go(spark):
+    """A box around six of 3 500 articles goes, whatever the size of its host."""
+    rows = [(i, f"https://a.example/{i}", f"<body><div>Box</div><p>story {i}</p></body>") for i in range(6)]
+    rows += [(i, f"https://a.example/{i}", f"<body><p>story {i}</p></body>") for i in range(6, 3500)]
+    assert texts(spark, rows) == {i: f"story {i}" for i in range(3500)}
+
+
 def test_odd_rows(spark):
     deep = "<div>" * 20_000 + "deep" + "</div>" * 20_000
     rows = [(1, None, None), (2, "", ""), (3, "nonsense", "just words"), (None, "http://x.example", "<p>no id"),

@@ -5,13 +5,16 @@ around them. A subtree that recurs around many articles of its host is template
 what remains of menus, headers, footers, sidebars, notices, adverts, forms and reader comments goes
 by its elements and class words, and the rest is the text.
 
-Copies of an article count once (pages are told apart by their longest text), and inside an article
-its own paragraphs and headings are never template, however often a passage is repeated.
+Copies of an article count once: pages are told apart by the text runs that don't recur on their host. Where
+less than ``OWN_WORDS`` words and a tenth of the page are left (a date, a counter) the page counts as a
+copy, told apart by its longest text. The count that makes a template doesn't grow with the host.
+Inside an article its own paragraphs and headings are never template, however often a passage is repeated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import pyarrow as pa
 import xxhash
@@ -23,28 +26,39 @@ from ..session import settle
 from .common import LOCATOR, located, slices, whole_text
 from .html_tree import Element, containers, digest_subtrees, parse, text_of
 
-PAGES, SHARE = 5, 0.002
+PAGES, OWN_WORDS = 5, 12
 _FRAME = frozenset("#page html head body br hr meta link title".split())
 _NO_TEXT = frozenset("script style title".split())
+_INLINE = frozenset("b i em strong span a code".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt b i em strong span a br code".split())
 
 
-def candidates(root: Element) -> tuple[int, set[int]]:
-    """The page's article key (a hash of its longest text) and the subtrees that may be template."""
+def candidates(root: Element) -> tuple[int, int, dict[int, int], set[int]]:
+    """Hashes of the text and of the longest text run of the article (of the page if it has none), the
+    runs' hashes with their numbers of words, and the subtrees that may be template."""
     inside = {id(c) for c in containers(root)}
     found: set[int] = set()
+    runs: dict[int, int] = {}
+    whole = xxhash.xxh64()
     longest, key = 0, 0
-    todo = [(root, False)]
+    todo = [(root, False, False)]
     while todo:
-        e, article = todo.pop()
+        e, article, sentence = todo.pop()
         article = article or id(e) in inside
-        own = "".join(c for c in e.children if isinstance(c, str))
-        if len(own) > longest and e.tag not in _NO_TEXT and (article or not inside):
-            longest, key = len(own), xxhash.xxh64_intdigest(own)
-        todo.extend((c, article) for c in e.children if not isinstance(c, str))
-        if e.tag not in _FRAME and not (article and (e.tag in _PROSE or id(e) in inside)):
+        words = "".join(c for c in e.children if isinstance(c, str)).split()
+        if words and e.tag not in _NO_TEXT and (article or not inside):
+            own = " ".join(words)
+            whole.update(own.encode() + b"\0")
+            run = xxhash.xxh64_intdigest(own)
+            runs[run] = len(words)
+            if len(own) > longest:
+                longest, key = len(own), run
+        within = bool(words) and e.tag in _PROSE or sentence and e.tag in _INLINE
+        todo.extend((c, article, within) for c in e.children if not isinstance(c, str))
+        part = sentence and e.tag in _INLINE  # a word of a sentence is no template
+        if e.tag not in _FRAME and not part and not (article and (e.tag in _PROSE or id(e) in inside)):
             found.add(e.digest)
-    return key, found
+    return whole.intdigest(), key, runs, found
 
 
 def main_text(page: str, dropped: set[int]) -> str:
@@ -59,34 +73,47 @@ def _signed(x: int) -> int:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(locator, host, article, digest): the distinct subtrees of each page that may be template."""
-    names = [*LOCATOR, "host", "article", "digest"]
+    """(locator, host, page, longest, run, words, digest): side by side, the distinct text runs of each page and
+    its distinct subtrees that may be template; the shorter list ends in nulls."""
+    names = [*LOCATOR, "host", "page", "longest", "run", "words", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            at, keys, digests = [], [], []
+            at, rows = [], []
             for i, page in enumerate(b.column("html")):
                 root = parse(page.as_py())
                 digest_subtrees(root)
-                key, found = candidates(root)
-                at += [i] * len(found)
-                keys += [_signed(key)] * len(found)
-                digests += sorted(map(_signed, found))
+                whole, longest, runs, found = candidates(root)
+                texts = sorted((_signed(r), n) for r, n in runs.items())
+                for text, d in zip_longest(texts, sorted(map(_signed, found))):
+                    rows.append((_signed(whole), _signed(longest), *(text or (None, None)), d))
+                at += [i] * (len(rows) - len(at))
             taken = pa.array(at, pa.int64())
             cols = [b.column(c).take(taken) for c in names[:3]]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(keys, pa.int64()), pa.array(digests, pa.int64())], names)
+            made = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
+            yield pa.RecordBatch.from_arrays([*cols, *made], names)
 
-    kinds = ["string", "bigint", "string", "bigint", "bigint"]
+    kinds = ["string", "bigint", "string", *["bigint"] * 5]
     return pages.select(*LOCATOR, "host", "html").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
-def templates(found: DataFrame, pages_least: int = PAGES, share: float = SHARE) -> DataFrame:
-    """(host, digest) of the subtrees that recur around at least ``pages_least`` different articles of
-    their host, and around ``share`` of them."""
-    articles = found.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
-    counts = found.select("host", "digest", "article").distinct().groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
-    often = counts.where(F.col("n") >= pages_least).join(settle(articles, "hosts"), "host")
-    return often.where(F.col("n") >= F.col("articles") * share).select("host", "digest")
+def articles(found: DataFrame, pages_least: int = PAGES) -> DataFrame:
+    """(locator, host, article): what tells the article of each page from others of its host."""
+    runs = found.where("run is not null").select(*LOCATOR, "host", "page", "longest", "run", "words")
+    often = runs.select("host", "run", "page").distinct().groupBy("host", "run").agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") >= pages_least).select("host", "run", F.lit(True).alias("often"))
+    own = F.col("often").isNull()
+    left = F.sum(F.when(own, F.col("words")).otherwise(0))
+    key = F.when((left >= OWN_WORDS) | (left * 10 >= F.sum("words")), F.bit_xor(F.when(own, F.col("run"))))
+    both = runs.join(settle(often, "runs"), ["host", "run"], "left")
+    return both.groupBy(*LOCATOR, "host").agg(F.coalesce(key, F.max("longest")).alias("article"))
+
+
+def templates(found: DataFrame, keys: DataFrame, pages_least: int = PAGES) -> DataFrame:
+    """(host, digest) of the subtrees that recur around at least ``pages_least`` different articles of their host."""
+    seen = found.where("digest is not null").select(*LOCATOR, "host", "digest").join(keys.drop("host"), LOCATOR)
+    counts = seen.select("host", "digest", "article").distinct().groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= pages_least).select("host", "digest")
 
 
 def host_of(url: Column) -> Column:
@@ -96,7 +123,7 @@ def host_of(url: Column) -> Column:
 
 def main_texts(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-    pages_least: int = PAGES, share: float = SHARE,
+    pages_least: int = PAGES,
 ) -> DataFrame:
     """One row per page: locator, page_id, url, text (empty if there is none).
 
@@ -108,8 +135,9 @@ def main_texts(
         host_of(F.col(url_col)).alias("host"), whole_text(html_col).alias("html"),
     )
     found = settle(subtrees(rows), "subtrees")
-    template = settle(templates(found, pages_least, share), "templates")
-    dropped = found.join(template, ["host", "digest"]).groupBy(*LOCATOR).agg(F.collect_set("digest").alias("dropped"))
+    keys = settle(articles(found, pages_least), "articles")
+    template = settle(templates(found, keys, pages_least), "templates")
+    dropped = found.select(*LOCATOR, "host", "digest").join(template, ["host", "digest"]).groupBy(*LOCATOR).agg(F.collect_set("digest").alias("dropped"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
