@@ -84,6 +84,31 @@ def test_long_template_short_stories(spark):
     assert texts(spark, rows) == want
 
 
+def test_counts_remove_text_inside_articles(spark):
+    """A notice in a plain paragraph of every article goes, on a whole host or in one section; a passage in half
+    of the articles and one that copies of an article repeat stay."""
+    rows, want = [], {}
+
+    def add(url, own, *shared):
+        i = len(rows)
+        rows.append((i, f"https://{url}/{i}", f"<body><article><h1>T{i}</h1><p>{own}</p>{''.join(f'<p>{s}</p>' for s in shared)}</article></body>"))
+        return i
+
+    for k in range(60):
+        i = add("a.example", f"story {k}", "Sign up for our letter today", *["half of them"] * (k % 2))
+        want[i] = f"T{i} story {k}" + " half of them" * (k % 2)
+    for k in range(60):
+        i = add("b.example/news", f"news {k}", "From the news desk")
+        want[i] = f"T{i} news {k}"
+        i = add("b.example/sport", f"sport {k}")
+        want[i] = f"T{i} sport {k}"
+    for _ in range(60):
+        i = len(rows)
+        rows.append((i, f"https://c.example/{i}", "<body><article><p>one story</p><p>on all pages</p></article></body>"))
+        want[i] = "one story on all pages"
+    assert texts(spark, rows) == want
+
+
 def test_templates_of_large_hosts_go(spark):
     """A box around six of 3 500 articles goes, whatever the size of its host."""
     rows = [(i, f"https://a.example/{i}", f"<body><div>Box</div><p>story {i}</p></body>") for i in range(6)]

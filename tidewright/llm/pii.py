@@ -179,7 +179,7 @@ def _entities(docs: DataFrame) -> DataFrame:
     return seen.select("doc", F.explode(F.array(*named)).alias("e")).select("doc", "e.*").distinct()
 
 
-def _wilson(share: Column, trials: Column) -> Column:
+def wilson(share: Column, trials: Column) -> Column:
     """Lower end of the Wilson interval of a share."""
     z2 = Z * Z
     half = Z * F.sqrt(share * (1 - share) / trials + z2 / (4 * trials * trials))
@@ -210,7 +210,7 @@ def disclosing_terms(docs: DataFrame, threshold: float = THRESHOLD, support: int
         F.sum("copies").cast("double").alias("n_et"), F.count(F.lit(1)).alias("texts")
     )
     share = F.col("n_et") / F.col("n_t")
-    share = F.when(F.col("single"), share).otherwise(_wilson(share, F.col("texts") / share))
+    share = F.when(F.col("single"), share).otherwise(wilson(share, F.col("texts") / share))
     pmi = F.log(F.lit(total) * share / F.col("n_e"))
     rated = counts.where(F.col("texts") >= support).withColumn("disclosure", pmi / F.log(F.lit(total) / F.col("n_e")))
     full = F.max((F.col("n_et") == F.col("n_t")).cast("int")) == 1
