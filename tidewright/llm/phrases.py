@@ -77,6 +77,14 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
+def _phrase_hashes(lang: str, phrases: list[list[bytes]]) -> np.ndarray:
+    """Hashes of split phrases of one length."""
+    first, *more = [_word_hashes(lang, list(column)) for column in zip(*phrases)]
+    for words in more:
+        first = _mixed(first, words)
+    return first
+
+
 def _slots(h: np.ndarray, slots: int) -> np.ndarray:
     """Three slots of each hash."""
     with np.errstate(over="ignore"):
@@ -168,12 +176,12 @@ def _mark(counts: DataFrame, threshold: int, scan: int, marks: np.ndarray) -> bo
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = np.empty(b.num_rows, np.uint64)
-            for i, (lang, phrase) in enumerate(zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist())):
-                first, *more = _word_hashes(lang, phrase.encode().split(b" "))[:, None]
-                for w in more:
-                    first = _mixed(first, w)
-                h[i] = first[0]
+            if not b.num_rows:
+                continue
+            by_lang = defaultdict(list)
+            for lang, phrase in zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist()):
+                by_lang[lang].append(phrase.encode().split(b" "))
+            h = np.concatenate([_phrase_hashes(lang, split) for lang, split in by_lang.items()])
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slots(h, slots)).astype(np.int64))], ["slot"])
 
     often = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)

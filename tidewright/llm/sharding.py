@@ -120,7 +120,8 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = 11, cell_rows: i
     parts = -(-n // (shards * cell_rows)) or 1
     part = F.expr(f"(_mix * {parts}) div {1 << 31}")
     done = positions(sent, ["shard"], ["_mix", FILE, ROW], [part], "slot")
-    return done.withColumn("slot", F.col("slot") - 1).drop("_mix", FILE, ROW)
+    own = [f"`{c}`" for c in docs.columns if c not in ("shard", "slot", FILE, ROW)]
+    return done.select(*own, "shard", (F.col("slot") - 1).alias("slot"))
 
 
 def row_bytes(text: str) -> Column:
