@@ -15,6 +15,7 @@ written to the shared folder scan by scan.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir, settle
 from .common import LOCATOR, located, whole_text
 
-SHARDS, WORDS, SLOTS = 4, 3, 1 << 24
+SHARDS, WORDS, SLOTS = 4, 3, 1 << 23
 CUT = 1 << 22  # bytes of text whose words a task holds as objects
 NEVER = 255
 SALT = 64
@@ -143,8 +144,8 @@ def count_slice(
 def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) -> DataFrame:
     """What scan number ``scan`` counts in the documents of its shard."""
 
-    def batch(lang: str, texts: list) -> Iterator[pa.RecordBatch]:
-        for length, phrases, n in count_slice(lang, texts, scan, cycle, marks.value):
+    def batch(lang: str, texts: list, known: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for length, phrases, n in count_slice(lang, texts, scan, cycle, known):
             for i in range(0, len(phrases), 1 << 16):
                 some = pa.array(phrases[i : i + (1 << 16)], pa.binary()).cast(pa.string())
                 k = len(some)
@@ -152,6 +153,7 @@ def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) ->
                 yield pa.RecordBatch.from_arrays(columns, ["len", "lang", "phrase", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [np.frombuffer(zlib.decompress(m), np.uint8) for m in marks.value]
         held, size = defaultdict(list), defaultdict(int)
         for b in batches:
             for lang, text in zip(b.column("lang"), b.column("text")):
@@ -160,10 +162,10 @@ def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) ->
                 size[lang] += len(held[lang][-1])
                 if sum(size.values()) >= slice_bytes:
                     most = max(size, key=size.get)
-                    yield from batch(most, held.pop(most))
+                    yield from batch(most, held.pop(most), known)
                     del size[most]
         for lang, texts in held.items():
-            yield from batch(lang, texts)
+            yield from batch(lang, texts, known)
 
     found = docs.mapInArrow(count, "len int, lang string, phrase string, n bigint")
     return found.groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
@@ -209,7 +211,7 @@ def frequent(
     parts: list[DataFrame] = []
     scan, last = 0, shards - 1  # the last scan with anything to count
     while scan <= last:
-        told = spark.sparkContext.broadcast(marks)
+        told = spark.sparkContext.broadcast([zlib.compress(m, 1) for m in marks])
         shard = dealt.where(F.col("shard") == scan % shards).select("lang", "text")
         parts.append(settle(_counts(shard, scan, shards, told, slice_bytes), "counts"))
         for length in range(1, longest):
@@ -217,7 +219,7 @@ def frequent(
                 same = [p.where(F.col("len") == length).select("lang", "phrase", "n") for p in parts]
                 if _mark(_all(same), threshold, scan, marks[length - 1]):
                     last = scan + shards
-        told.unpersist()
+        told.destroy()
         scan += 1
     total = _all(parts).groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
     return settle(total.where((F.col("n") >= threshold) | (F.col("len") == 1)), "phrases")
