@@ -20,6 +20,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir, settle
 from .common import LOCATOR, located, whole_text
 
-SHARDS, WORDS, SLOTS = 4, 3, 1 << 23
+SHARDS, WORDS, SLOTS = 2, 3, 1 << 23
 CUT = 1 << 22  # bytes of text whose words a task holds as objects
 NEVER = 255
 SALT = 64
@@ -61,8 +62,8 @@ class Ids:
         out = []
         for part in _spans(whole):
             words = part.replace(b".", b" . ").split()
-            out.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
-        return [*out, np.zeros(1, np.int64)]
+            out.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+        return [*out, np.zeros(1, np.int32)]
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -95,7 +96,7 @@ def _slots(h: np.ndarray, slots: int) -> np.ndarray:
 
 def _reached(h: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """The scan in which each phrase (or others, in all its slots) had reached the threshold, or NEVER."""
-    return marks[_slots(h, len(marks)).astype(np.int64)].max(axis=0).astype(np.int64)
+    return marks[_slots(h, len(marks)).astype(np.int64)].max(axis=0).astype(np.int16)
 
 
 class _Named:
@@ -117,6 +118,8 @@ def count_slice(
     words, wide = list(ids.number), len(ids.number)
     if scan < cycle:
         yield 1, words[1:], np.bincount(at, minlength=wide)[1:]
+    if not scan:
+        return
     hashes = _word_hashes(lang, words)
     own = _reached(hashes, marks[0])
     own[0] = NEVER
@@ -128,16 +131,17 @@ def count_slice(
         here = np.flatnonzero(start <= scan)
         if not len(here):
             return
-        kinds, one, back = np.unique(number[here] * wide + at[here + length - 1], return_index=True, return_inverse=True)
+        back, kinds = pd.factorize(number[here].astype(np.int64) * wide + at[here + length - 1])
         first, word = kinds // wide, kinds % wide
-        begin = start[here[one]]
+        begin = np.empty(len(kinds), np.int16)
+        begin[back] = start[here]
         here_names = _Named(names, words, first, word)
         due = np.flatnonzero(scan < begin + cycle)
         yield length, [here_names[i] for i in due], np.bincount(back, minlength=len(kinds))[due]
         if length > len(marks):
             return
         names, hashed = here_names, _mixed(hashed[first], hashes[word])
-        number, reached = np.zeros(len(start), np.int64), np.full(len(start), NEVER)
+        number, reached = np.zeros(len(start), np.int32), np.full(len(start), NEVER, np.int16)
         number[here], reached[here] = back, np.maximum(_reached(hashed, marks[length - 1]), begin)[back]
 
 
@@ -149,7 +153,7 @@ def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) ->
             for i in range(0, len(phrases), 1 << 16):
                 some = pa.array(phrases[i : i + (1 << 16)], pa.binary()).cast(pa.string())
                 k = len(some)
-                columns = [pa.array([length] * k, pa.int32()), pa.array([lang] * k), some, pa.array(n[i : i + k], pa.int64())]
+                columns = [pa.repeat(pa.scalar(length, pa.int32()), k), pa.repeat(lang, k), some, pa.array(n[i : i + k], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["len", "lang", "phrase", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +175,7 @@ def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) ->
     return found.groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _mark(counts: DataFrame, threshold: int, scan: int, marks: np.ndarray) -> bool:
+def _mark(often: DataFrame, scan: int, marks: np.ndarray) -> bool:
     """Mark the slots of the phrases that have reached the threshold; True if there were new ones.
     Of the slots, at most all numbers come to the driver (four bytes each)."""
     slots, block = len(marks), 1 << 16
@@ -186,7 +190,6 @@ def _mark(counts: DataFrame, threshold: int, scan: int, marks: np.ndarray) -> bo
             h = np.concatenate([_phrase_hashes(lang, split) for lang, split in by_lang.items()])
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slots(h, slots)).astype(np.int64))], ["slot"])
 
-    often = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
     hit = often.select("lang", "phrase").mapInArrow(places, "slot bigint").distinct().withColumn("block", F.shiftright("slot", 16))
     sets = hit.groupBy("block").agg(F.collect_set((F.col("slot") % block).cast("int")).alias("low")).toArrow()
     found = False
@@ -200,29 +203,43 @@ def _mark(counts: DataFrame, threshold: int, scan: int, marks: np.ndarray) -> bo
 
 def frequent(
     docs: DataFrame, threshold: int, longest: int = WORDS, shards: int = SHARDS, slots: int = SLOTS, slice_bytes: int = 1 << 23
-) -> DataFrame:
-    """(len, lang, phrase, n): exact counts of all phrases of 1 to ``longest`` words with n >= ``threshold``,
-    and of all words. ``docs``: lang, text."""
+) -> tuple[DataFrame, DataFrame]:
+    """(len, lang, phrase, n): exact counts of all phrases of 1 to ``longest`` words with n >= ``threshold``;
+    and (lang, n): all words. ``docs``: lang, text, shard."""
     spark = docs.sparkSession
     path = scratch_dir(spark, "shards")
     docs.write.partitionBy("shard").parquet(path)
     dealt = spark.read.schema(docs.schema).parquet(path)
     marks = [np.full(slots, NEVER, np.uint8) for _ in range(longest - 1)]
     parts: list[DataFrame] = []
+    done: list[DataFrame] = []
+
+    def counted(length: int) -> DataFrame:
+        return _all([p.where(F.col("len") == length).select("len", "lang", "phrase", "n") for p in parts])
+
+    def total(length: int) -> DataFrame:
+        sums = counted(length).groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
+        return sums.where(F.col("n") >= threshold)
+
     scan, last = 0, shards - 1  # the last scan with anything to count
     while scan <= last:
         told = spark.sparkContext.broadcast([zlib.compress(m, 1) for m in marks])
         shard = dealt.where(F.col("shard") == scan % shards).select("lang", "text")
-        parts.append(settle(_counts(shard, scan, shards, told, slice_bytes), "counts"))
+        found, path = _counts(shard, scan, shards, told, slice_bytes), scratch_dir(spark, "counts")
+        found.write.partitionBy("len").parquet(path)
+        parts.append(spark.read.schema(found.schema).parquet(path))
+        told.destroy()
         for length in range(1, longest):
-            if scan < length * shards:  # later nothing of this length is counted
-                same = [p.where(F.col("len") == length).select("lang", "phrase", "n") for p in parts]
-                if _mark(_all(same), threshold, scan, marks[length - 1]):
+            if scan < length * shards:
+                often = settle(total(length), "often")
+                if scan == length * shards - 1:  # later nothing of this length is counted
+                    done.append(often)
+                if _mark(often, scan, marks[length - 1]):
                     last = scan + shards
-        told.destroy()
         scan += 1
-    total = _all(parts).groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
-    return settle(total.where((F.col("n") >= threshold) | (F.col("len") == 1)), "phrases")
+    words = counted(1).groupBy("lang").agg(F.sum("n").alias("n"))
+    done += [total(length) for length in range(len(done) + 1, longest + 1)]
+    return settle(_all(done), "phrases"), settle(words, "words")
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -256,9 +273,7 @@ def collocations(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), whole_text(text).alias("text"),
         F.pmod(F.xxhash64(*LOCATOR), F.lit(shards)).cast("int").alias("shard"),
     )
-    counted = frequent(rows, threshold, longest, shards, slots)
-    n = counted.where("len = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    often = counted.where(F.col("n") >= threshold)
+    often, n = frequent(rows, threshold, longest, shards, slots)
     phrases = often.where("len > 1").select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
     cuts = phrases.withColumn("cut", F.explode(F.sequence(F.lit(1), F.size("w") - 1))).select(
         "lang", "phrase", "a", "cut",
