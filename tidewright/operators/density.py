@@ -1,9 +1,17 @@
 """Kernel density scores.
 
-Both sides are reduced to distinct points first (training points with weights) and cut into
-tiles of bounded size per slot. A task holds one tile of each side and sums the kernel in
-numpy, so no point pairs become rows and no slot has to fit into one task; the tiles of a
-point are combined in log space. Results are exact.
+Both sides are reduced to distinct points first (training points with weights). How the kernel is summed depends
+on its reach:
+
+* *Gaussian, one number*: training points become ``TERMS`` moments per cell of a quarter to half a bandwidth, an
+  aggregate like any other. The moments of the cells within ``REACH`` bandwidths give one polynomial per cell of
+  evaluation points (Hermite series of the kernel), and a point's sum is that polynomial's value. No pair of points is
+  formed. Where the sum is so small that farther cells could matter, the point is summed by tiles instead.
+* *Kernels of bounded reach*: tiles of neighbouring cells only.
+* *Arrays*: all tiles.
+
+A tile holds a bounded number of points of each side, so no point pairs become rows and no slot has to fit into one
+task; the tiles of a point are combined in log space. Neglected terms are below 1e-10 of a sum.
 """
 
 from __future__ import annotations
@@ -16,19 +24,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash31
+from ..functions.exprs import attach, hash31, scalar_row
 from ..session import settle
 from .quantiles import exact_quantiles
 
 TILE = 4096
 KERNELS = ("gaussian", "tophat", "linear")
+TERMS, REACH, RUN = 24, 14.0, 64  # RUN cells cover the reach: a cell is at least a quarter of a bandwidth wide
+LEAST = 1e-30  # of the total weight; cells beyond REACH hold at most exp(-13.75^2 / 2) = 9e-42 of it
 
 
 def bandwidth_rule(df: DataFrame, key: Sequence[str], value: str, out: str = "h") -> DataFrame:
     """0.9 * min(std, IQR / 1.34) * n ** (-1/5) per key."""
     base = df.groupBy(*key).agg(F.stddev(value).alias("_sd"), F.count(value).alias("_n"))
     q = exact_quantiles(df, key, value, {"_q1": 0.25, "_q3": 0.75})
-    j = base.join(q, list(key)) if key else base.join(q)
+    if key:
+        j = base.join(q, list(key))
+    else:
+        row = scalar_row(q)
+        j = base.withColumns({"_q1": row["_q1"], "_q3": row["_q3"]})
     spread = F.least(F.col("_sd"), (F.col("_q3") - F.col("_q1")) / 1.34)
     return j.select(*key, (0.9 * spread * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias(out))
 
@@ -66,23 +80,144 @@ def kde_scores(
     h = F.col(bandwidth) if isinstance(bandwidth, str) else F.lit(float(bandwidth))
     # Distinct points feed several branches below; they are computed once.
     pts = settle(train.groupBy(*slot, value).agg(F.sum("w").cast("double").alias("w")), "kde-train")
-    evals = settle(points.select(*slot, value, h.alias("_h")).distinct(), "kde-points")
+    evals = points.select(*slot, value, h.cast("double").alias("_h")).distinct()
+    totals = pts.groupBy(*slot).agg(F.sum("w").alias("_total"))
+    keys = [*slot, value, "_h", "_total"]
+    if dims is not None:
+        evals = settle(attach(evals, totals, slot).where(F.col("_total").isNotNull()), "kde-points")
+        merged = _tile_sums(evals, pts, slot, keys, value, kernel, dims, tile)
+    else:
+        level = F.when((F.col("_h") > 0) & (F.col("_h") < float("inf")), F.ceil(F.log2("_h")).cast("int"))
+        evals = attach(evals, totals, slot).where(F.col("_total").isNotNull())
+        evals = settle(evals.withColumn("_level", level), "kde-points")
+        if kernel == "gaussian":
+            near = settle(_moment_sums(evals, pts, slot, value), "kde-near")
+            enough = F.coalesce(F.col("_s") > LEAST * F.col("_total"), F.lit(False))
+            far = _tile_sums(near.where(~enough).select(*keys), pts, slot, keys, value, kernel, None, tile)
+            merged = near.where(enough).select(*keys, F.lit(0.0).alias("_m"), "_s").unionByName(far)
+        else:
+            merged = _ring_sums(evals, pts, slot, keys, value, kernel, tile)
+    d = dims or 1
+    per_dim = {"gaussian": 0.5 * math.log(2 * math.pi), "tophat": math.log(2.0), "linear": 0.0}[kernel]
+    log_density = F.col("_m") + F.log(F.nullif("_s", F.lit(0.0))) - F.log("_total")
+    signal = -(log_density - d * F.log("_h") - F.lit(d * per_dim))
+    named = [F.col("_h").alias(bandwidth)] if isinstance(bandwidth, str) else []
+    return merged.select(*slot, value, *named, signal.alias(out))
+
+
+def _matching(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join with fresh names on the right: both sides may come from the same table."""
+    fresh = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    hit = [F.col(c) == F.col(f"_r_{c}") for c in on]
+    return left.join(fresh, hit, how).drop(*[f"_r_{c}" for c in on])
+
+
+def _hermite(u: np.ndarray, n: int) -> np.ndarray:
+    """He_0..He_n-1 of u, each over its factorial's square root (no overflow), times exp(-u^2 / 2)."""
+    out = np.empty((n, len(u)))
+    out[0] = np.exp(-0.5 * u * u)
+    for i in range(1, n):
+        out[i] = u * out[i - 1] / math.sqrt(i) - (math.sqrt((i - 1) / i) * out[i - 2] if i > 1 else 0.0)
+    return out
+
+
+def _translation(ratio: float) -> np.ndarray:
+    """(cell offset, moment, coefficient): what a moment of a cell adds to the polynomial of the cell
+    ``offset`` places on; ``ratio`` is cell width over bandwidth. Polynomials and moments are in cell widths."""
+    far = int(REACH / ratio)
+    herm = _hermite(np.arange(-far, far + 1) * ratio, 2 * TERMS)
+    j, k = np.arange(TERMS)[None, :], np.arange(TERMS)[:, None]
+    log_f = np.array([math.lgamma(i + 1) for i in range(2 * TERMS)])
+    size = (j + k) * math.log(ratio) + 0.5 * log_f[j + k] - log_f[j] - log_f[k]
+    return herm[j + k].transpose(2, 0, 1) * (np.exp(size) * (-1.0) ** j)
+
+
+def _moment_sums(evals: DataFrame, pts: DataFrame, slot: list[str], value: str) -> DataFrame:
+    """``evals`` with ``_s``, the kernel sum over the cells within REACH (null where there are none)."""
+    width = F.pow(F.lit(2.0), F.col("_level") - 2)
+
+    def cell(df: DataFrame) -> DataFrame:
+        at = F.floor(F.col(value) / width + 0.5)
+        return df.withColumn("_cell", at).withColumn("_z", (F.col(value) - at * width) / width)
 
-    def tiles_needed(df: DataFrame, name: str, *more):
+    spread = cell(_matching(pts, evals.where(F.col("_level").isNotNull()).select(*slot, "_level").distinct(), slot))
+    power, sums = F.col("w"), []
+    for k in range(TERMS):
+        sums.append(F.sum(power).alias(f"_m{k}"))
+        power = power * F.col("_z")
+    cells = spread.groupBy(*slot, "_level", "_cell").agg(*sums)
+    moments = F.array(*[f"_m{k}" for k in range(TERMS)])
+    cells = settle(cells.select(*slot, "_level", "_cell", moments.alias("_moments")), "kde-cells")
+
+    own = settle(cell(evals), "kde-cells")
+    asked = own.where(F.col("_level").isNotNull()).select(*slot, "_h", "_level", "_cell").distinct()
+    run = F.floor(F.col("_cell") / RUN)
+    left = asked.withColumn("_run", run)
+    wanted = left.select(*slot, "_h", "_level", "_run").distinct()
+    beside = F.explode(F.array(run - 1, run, run + 1))
+    right = _matching(wanted, cells.withColumn("_run", beside), [*slot, "_level", "_run"])
+    fresh = {c: f"_r{i}" for i, c in enumerate([*slot, "_h", "_level", "_run"])}
+    right = right.select(*[F.col(c).alias(n) for c, n in fresh.items()], F.col("_cell").alias("_at"), "_moments")
+
+    def polynomials(here: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        if here.empty:
+            return here[[*slot, "_h", "_cell"]].assign(_poly=[])
+        ratio = 2.0 ** (int(here["_level"].iloc[0]) - 2) / float(here["_h"].iloc[0])
+        table = _translation(ratio)
+        far = len(table) // 2
+        at = here["_cell"].to_numpy()
+        low = int(at.min()) - far
+        grid = np.zeros((int(at.max()) + far + 1 - low, TERMS))
+        if len(there):
+            place = there["_at"].to_numpy() - low
+            inside = (place >= 0) & (place < len(grid))
+            if inside.any():
+                grid[place[inside]] = np.stack(there["_moments"].to_numpy()[inside])
+        # The offset is the evaluation cell minus the training cell.
+        windows = np.stack([grid[i : i + 2 * far + 1][::-1] for i in at - low - far])
+        poly = np.einsum("eok,okj->ej", windows, table, optimize=True)
+        return here[[*slot, "_h", "_cell"]].assign(_poly=list(poly))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.select(*slot, "_h", "_cell").schema.fields)
+    made = left.groupBy(*fresh).cogroup(right.groupBy(*fresh.values())).applyInPandas(polynomials, f"{schema}, _poly array<double>")
+    found = _matching(own, settle(made, "kde-polynomials"), [*slot, "_h", "_cell"], "left")
+    total = F.element_at("_poly", TERMS)
+    for j in range(TERMS - 1, 0, -1):
+        total = total * F.col("_z") + F.element_at("_poly", j)
+    return found.select(*slot, value, "_h", "_total", total.alias("_s"))
+
+
+def _ring_sums(
+    evals: DataFrame, pts: DataFrame, slot: list[str], keys: list[str], value: str, kernel: str, tile: int
+) -> DataFrame:
+    """Kernels that end at one bandwidth: a point meets its cell and the two beside it."""
+    at = F.floor(F.col(value) / F.pow(F.lit(2.0), F.col("_level")))
+    own = evals.withColumn("_cell", at)
+    levels = evals.where(F.col("_level").isNotNull()).select(*slot, "_level").distinct()
+    beside = _matching(pts, levels, slot).withColumn("_cell", F.explode(F.array(at - 1, at, at + 1)))
+    ring = [*slot, "_level", "_cell"]
+    sums = _tile_sums(own, settle(beside, "kde-beside"), ring, [*keys, "_level", "_cell"], value, kernel, None, tile)
+    return _matching(evals.drop("_level"), sums.drop("_total", "_level", "_cell"), [*slot, value, "_h"], "left")
+
+
+def _tile_sums(
+    evals: DataFrame, pts: DataFrame, slot: list[str], keys: list[str], value: str, kernel: str, dims: int | None, tile: int
+) -> DataFrame:
+    """``keys`` of ``evals`` with ``_m`` and ``_s``: the sum over the slot's points is _s * exp(_m)."""
+
+    def tiles_needed(df: DataFrame, name: str):
         n = F.ceil(F.count(F.lit(1)) / tile).cast("bigint")
-        return df.groupBy(*slot).agg(n.alias(name), *more)
+        return df.groupBy(*slot).agg(n.alias(name))
 
     # Each side is hashed into its slot's tiles and meets every tile of the other side.
-    sizes = tiles_needed(evals, "_ne").join(
-        tiles_needed(pts, "_np", F.sum("w").alias("_total")), slot
-    )
+    sizes = _matching(tiles_needed(evals, "_ne"), tiles_needed(pts, "_np"), slot)
+
     def tile_of(n: str):
         return F.pmod(F.xxhash64(value), F.col(n))
 
     def every(n: str):
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
 
-    keys = [*slot, value, "_h", "_total"]
     evals = evals.join(sizes, slot).select(*keys, tile_of("_ne").alias("_te"), every("_np").alias("_tp"))
     # Fresh names on one side: both sides may come from the same table.
     slot_p = [f"_slot{i}" for i in range(len(slot))]
@@ -114,12 +249,7 @@ def kde_scores(
     total = F.aggregate(
         "_parts", F.lit(0.0), lambda s, q: s + q["_s"] * F.exp(q["_top"] - F.col("_m"))
     )
-    d = dims or 1
-    per_dim = {"gaussian": 0.5 * math.log(2 * math.pi), "tophat": math.log(2.0), "linear": 0.0}[kernel]
-    log_density = F.col("_m") + F.log(F.nullif(total, F.lit(0.0))) - F.log("_total")
-    signal = -(log_density - d * F.log("_h") - F.lit(d * per_dim))
-    named = [F.col("_h").alias(bandwidth)] if isinstance(bandwidth, str) else []
-    return merged.select(*slot, value, *named, signal.alias(out))
+    return merged.select(*keys, "_m", total.alias("_s"))
 
 
 def kde_signal(
