@@ -93,8 +93,10 @@ def kde_scores(
         if kernel == "gaussian":
             near = settle(_moment_sums(evals, pts, slot, value), "kde-near")
             enough = F.coalesce(F.col("_s") > LEAST * F.col("_total"), F.lit(False))
-            far = _tile_sums(near.where(~enough).select(*keys), pts, slot, keys, value, kernel, None, tile)
-            merged = near.where(enough).select(*keys, F.lit(0.0).alias("_m"), "_s").unionByName(far)
+            far = near.where(~enough).select(*keys)
+            merged = near.where(enough).select(*keys, F.lit(0.0).alias("_m"), "_s")
+            if not far.isEmpty():
+                merged = merged.unionByName(_tile_sums(far, pts, slot, keys, value, kernel, None, tile))
         else:
             merged = _ring_sums(evals, pts, slot, keys, value, kernel, tile)
     d = dims or 1
@@ -149,7 +151,7 @@ def _moment_sums(evals: DataFrame, pts: DataFrame, slot: list[str], value: str)
     moments = F.array(*[f"_m{k}" for k in range(TERMS)])
     cells = settle(cells.select(*slot, "_level", "_cell", moments.alias("_moments")), "kde-cells")
 
-    own = settle(cell(evals), "kde-cells")
+    own = cell(evals)
     asked = own.where(F.col("_level").isNotNull()).select(*slot, "_h", "_level", "_cell").distinct()
     run = F.floor(F.col("_cell") / RUN)
     left = asked.withColumn("_run", run)

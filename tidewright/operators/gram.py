@@ -1,8 +1,8 @@
 """Cross products of wide tables: one matrix per partition, summed over partitions.
 
-A table of d columns has d * d products. As separate aggregates they would have to be planned one by
-one; here every partition multiplies its rows as a matrix and emits d rows, which are summed in two
-steps. Columns are centred first, so no digits are lost to large means. d * d numbers reach the driver,
+A table of d columns has d * d products. Up to ``FEW`` columns they are plain aggregates. More of them would have to
+be planned one by one; there every partition multiplies its rows as a matrix and emits d rows, which are summed
+in two steps. Columns are centred first, so no digits are lost to large means. d * d numbers reach the driver,
 whatever the number of rows.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64  # matrix rows that travel together
+FEW = 10  # columns whose products are planned as aggregates
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,8 @@ def cross_products(df: DataFrame, columns: Sequence[str], complete: bool = False
     d = len(columns)
     rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
     rows = rows.na.drop() if complete else rows
+    if 0 < d <= FEW:
+        return _few_products(rows)
     rows = rows.select(F.array(*rows.columns).alias("x"))
 
     def matrix(b: pa.RecordBatch) -> np.ndarray:
@@ -82,6 +85,42 @@ def cross_products(df: DataFrame, columns: Sequence[str], complete: bool = False
     return Products(mean, *np.concatenate(matrices, axis=1))
 
 
+def _few_products(rows: DataFrame) -> Products:
+    """Two passes of aggregates: means, then centred sums. Pairs are counted one by one only where a value is missing."""
+    names = rows.columns
+    d = len(names)
+    rows = rows.select(*[F.nanvl(c, F.lit(None)).alias(c) for c in names])
+    first = rows.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.count, F.avg)]).first()
+    n, counts, mean = first[0], first[1::2], np.array([m or 0.0 for m in first[2::2]])
+    x = [F.col(c) - F.lit(float(m)) for c, m in zip(names, mean)]
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    products = [F.sum(x[i] * x[j]) for i, j in pairs]
+
+    def square(values, at) -> np.ndarray:
+        out = np.zeros((d, d))
+        for (i, j), v in zip(at, values):
+            out[i, j] = v or 0.0
+        return out
+
+    def mirrored(values) -> np.ndarray:
+        m = square(values, pairs)
+        return np.triu(m) + np.triu(m, 1).T
+
+    if all(c == n for c in counts):
+        got = rows.agg(*products, *[F.sum(c) for c in x]).first()
+        m = mirrored(got[: len(pairs)])
+        sums = np.array([s or 0.0 for s in got[len(pairs) :]])
+        return Products(mean, np.full((d, d), float(n)), np.tile(sums[:, None], d), np.tile(np.diag(m)[:, None], d), m)
+    every = [(i, j) for i in range(d) for j in range(d)]
+    seen = [F.col(c).isNotNull() for c in names]
+    both = [F.count(F.when(seen[i] & seen[j], 1)) for i, j in pairs]
+    sums = [F.sum(F.when(seen[j], x[i])) for i, j in every]
+    squares = [F.sum(F.when(seen[j], x[i] * x[i])) for i, j in every]
+    got = list(rows.agg(*both, *products, *sums, *squares).first())
+    p, e = len(pairs), len(every)
+    return Products(mean, mirrored(got[:p]), square(got[2 * p : 2 * p + e], every), square(got[2 * p + e :], every), mirrored(got[p : 2 * p]))
+
+
 _SCHEMA = "start int, m binary"
 
 
