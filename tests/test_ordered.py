@@ -97,11 +97,59 @@ def test_quantiles_without_key_and_constant(spark):
     assert exact_quantiles(df, [], "x", {"m": 0.3}, heavy=1).collect()[0]["m"] == 4.0
 
 
-def test_time_cells_bound_rows(spark):
-    df = spark.range(10000).withColumn("t", F.col("id") * 1000)
-    width = ordered.time_cells(df, "t", target=100)
-    most = df.groupBy(idiv("t", width)).count().agg(F.max("count")).first()[0]
-    assert most <= 101
+def shaped(kind):
+    """Times of 4 000 rows of one key, whose even cells would all be one cell or nearly so."""
+    rng = np.random.default_rng(1)
+    even = np.arange(0, 4_000_000, 1000, dtype=np.int64)
+    if kind == "burst":
+        even[:3000] = 5_000 + rng.integers(0, 40, 3000)
+    if kind == "one bad time":
+        even[7] = 10**16
+    if kind == "equal times":
+        even[:3500] = 77
+    if kind == "shrinking":
+        even = (4e15 * 0.99 ** np.arange(4000)).astype(np.int64)
+    return even
+
+
+@pytest.mark.parametrize("kind", ["even", "burst", "one bad time", "equal times", "shrinking"])
+def test_measured_cells_bound_rows(spark, kind):
+    t = shaped(kind)
+    pdf = pd.DataFrame({"k": "a", "t": t, "id": np.random.default_rng(2).permutation(len(t))})
+    df = spark.createDataFrame(pdf)
+    cut, names, counts = ordered.measured_cells(df, ["k"], ["t", "id"], target=100)
+    assert counts.agg(F.max("_n")).first()[0] <= 100 and counts.agg(F.sum("_n")).first()[0] == len(t)
+    got = cut.toPandas().sort_values(["t", "id"])
+    cells = list(map(tuple, got[names].to_numpy()))
+    assert cells == sorted(cells)
+
+
+def test_measured_cells_with_nulls_and_no_order(spark):
+    rows = [(None, 5, i) for i in range(30)] + [("a", None, i) for i in range(50)] + [("a", 9, i) for i in range(50)]
+    df = spark.createDataFrame([*rows, *[("b", 1, 1)] * 40], "k string, t int, id int")
+    cut, names, counts = ordered.measured_cells(df, ["k"], ["t", "id"], target=20)
+    most = {r["k"]: r["n"] for r in counts.groupBy("k").agg(F.max("_n").alias("n")).collect()}
+    assert most[None] <= 20 and most["a"] <= 20 and most["b"] == 40  # equal rows can't be told apart
+    got = {(r["t"], r["id"]): r["pos"] for r in ordered.positions(df.where("k = 'a'"), ["k"], ["t", "id"]).collect()}
+    assert [got[k] for k in [(None, i) for i in range(50)] + [(9, i) for i in range(50)]] == list(range(1, 101))
+
+
+@pytest.mark.parametrize("kind", ["burst", "one bad time", "shrinking"])
+def test_positions_and_asof_on_measured_cells(spark, kind, monkeypatch):
+    from tidewright.operators import joins
+
+    monkeypatch.setattr(ordered.measured_cells, "__defaults__", (100,))
+    t = shaped(kind)
+    pdf = pd.DataFrame({"k": "a", "t": t, "id": np.arange(len(t)), "v": np.arange(len(t)) * 0.5})
+    df = spark.createDataFrame(pdf)
+    want = pdf.sort_values(["t", "id"])
+    got = ordered.positions(df, ["k"], ["t", "id"]).toPandas().sort_values("pos")
+    assert got["id"].tolist() == want["id"].tolist() and got["pos"].tolist() == list(range(1, len(t) + 1))
+    left = pd.DataFrame({"k": "a", "at": np.r_[t[::7] + 3, 0, 10**17].astype(np.int64)}).rename_axis("n").reset_index()
+    found = joins.asof(spark.createDataFrame(left), df, ["k"], "at", "t", "id", "v", 100).toPandas().set_index("n")["asof_v"].sort_index()
+    stamps, values = want["t"].to_numpy(), want["v"].to_numpy()
+    place = np.searchsorted(stamps, left["at"].to_numpy(), side="right") - 1
+    np.testing.assert_array_equal(found.to_numpy(float), np.where(place < 0, np.nan, values[place]))
 
 
 def test_null_times_keep_their_place(spark):

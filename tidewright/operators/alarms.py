@@ -14,9 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ALL, attach, keyed, scalar_row
+from ..functions.exprs import ALL, keyed, scalar_row
 from .joins import interval_join, near_flags
-from .ordered import CHUNK_ROWS, running_sum
+from .ordered import CELL_ROWS, CHUNK_ROWS, running_sum
 
 
 @dataclass(frozen=True)
@@ -293,20 +293,16 @@ def confusion(df: DataFrame, label: str, pred: Column) -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, label: str, score: str, key: Sequence[str] = (), cells: int = 1 << 16
+    df: DataFrame, label: str, score: str, key: Sequence[str] = (), cells: int = CELL_ROWS
 ) -> DataFrame:
     """Rank AUC with ties at half. Rows collapse to (distinct score, negatives, positives);
-    negatives below each score come from running sums cell by cell."""
+    negatives below each score come from running sums over measured cells of about ``cells`` scores."""
     df, key = keyed(df, key)
     pos = F.sum(F.when(F.col(label) != 0, 1).otherwise(0))
     per = df.groupBy(*key, F.col(score).cast("double").alias("s")).agg(
         pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg")
     )
-    span = df.groupBy(*key).agg(F.min(score).cast("double").alias("_lo"), F.max(score).cast("double").alias("_hi"))
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    cell = F.coalesce(F.floor((F.col("s") - F.col("_lo")) / width * cells), F.lit(0)).cast("bigint")
-    per = attach(per, span, key).withColumn("_cell", cell)
-    ranked = running_sum(per, key, ["s"], [F.col("_cell")], {"neg": "_below"}, exclusive=True)
+    ranked = running_sum(per, key, ["s"], None, {"neg": "_below"}, exclusive=True, target=cells)
     wins = F.sum((F.col("_below") + F.col("neg") / 2.0) * F.col("pos"))
     return ranked.groupBy(*key).agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),

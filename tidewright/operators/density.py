@@ -143,10 +143,7 @@ def _moment_sums(evals: DataFrame, pts: DataFrame, slot: list[str], value: str)
         return df.withColumn("_cell", at).withColumn("_z", (F.col(value) - at * width) / width)
 
     spread = cell(_matching(pts, evals.where(F.col("_level").isNotNull()).select(*slot, "_level").distinct(), slot))
-    power, sums = F.col("w"), []
-    for k in range(TERMS):
-        sums.append(F.sum(power).alias(f"_m{k}"))
-        power = power * F.col("_z")
+    sums = [F.sum(F.col("w") * F.pow("_z", F.lit(float(k)))).alias(f"_m{k}") for k in range(TERMS)]
     cells = spread.groupBy(*slot, "_level", "_cell").agg(*sums)
     moments = F.array(*[f"_m{k}" for k in range(TERMS)])
     cells = settle(cells.select(*slot, "_level", "_cell", moments.alias("_moments")), "kde-cells")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import attach, idiv
 from ..session import settle
-from .ordered import framed
+from .ordered import CELL_ROWS, framed, measured_cells
 
 
 def with_group_size(df: DataFrame, key: Sequence[str], out: str) -> DataFrame:
@@ -38,12 +38,12 @@ def asof(
     right_time: str,
     right_tie: str,
     value: str,
-    cells: int,
+    target: int = CELL_ROWS,
 ) -> DataFrame:
     """Last ``value`` of ``right`` at or before each left row's time.
 
-    Both sides are unioned and ordered once per (key, time cell of ``cells`` units); a right
-    row sorts before a left row of equal time. The value standing at the end of a cell is
+    Both sides are unioned and ordered once per key and measured cell of about ``target`` rows of either
+    side; a right row sorts before a left row of equal time. The value standing at the end of a cell is
     carried to later cells through the cell table, so no key is gathered in one task.
     """
     key = list(key)
@@ -54,20 +54,19 @@ def asof(
         stamp.alias("_obs"),
     )
     lt = left.select(*key, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), payload.alias("_row"))
-    both = lt.unionByName(r, allowMissingColumns=True).withColumn("_cell", idiv("_t", cells))
-    edge = r.groupBy(*key, idiv("_t", cells).alias("_cell")).agg(F.max("_obs").alias("_end"))
-    touched = lt.select(*key, idiv("_t", cells).alias("_cell")).distinct()
-    before = Window.partitionBy(*key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        edge.join(touched, [*key, "_cell"], "full_outer")
-        .select(*key, "_cell", F.max("_end").over(before).alias("_carry"))
-    )
+    # Left rows number themselves where times and sides are equal, so that any burst can be cut.
+    both = lt.withColumn("_tie", F.xxhash64("_row")).unionByName(r, allowMissingColumns=True)
+    both, cell, _ = measured_cells(both, key, ["_t", "_side", "_tie"], target)
+    at = [*key, *cell]
+    ends = both.groupBy(*at).agg(F.max("_obs").alias("_end"))
+    before = Window.partitionBy(*key).orderBy(*(cell or key)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(*at, F.max("_end").over(before).alias("_carry"))
     inside = (
-        Window.partitionBy(*key, "_cell").orderBy("_t", "_side", "_tie")
+        Window.partitionBy(*at).orderBy("_t", "_side", "_tie")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     seen = both.withColumn("_local", F.last("_obs", ignorenulls=True).over(inside))
-    found = seen.where(F.col("_side") == 1).join(carry, [*key, "_cell"], "left")
+    found = seen.where(F.col("_side") == 1).join(carry, at, "left")
     hit = F.coalesce("_local", "_carry")
     return found.select("_row.*", hit["t"].alias("matched_t"), hit[value].alias(f"asof_{value}"))
 

@@ -3,7 +3,7 @@
 A key may hold a third of all rows, so a plain ``partitionBy(key)`` window over raw
 rows is not safe. Two layouts replace it:
 
-* *cells*: a coarse, monotone prefix of the order (an hour, a day, a range of ids).
+* *cells*: a coarse, monotone prefix of the order (an hour, a day, a range of ids), given or measured.
   Row work happens inside (key, cell); what crosses a cell edge is a small summary per
   cell, scanned over the cell table and joined back.
 * *chunks*: once rows carry a gap-free position, fixed runs of positions. Bounded frames
@@ -21,17 +21,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import idiv
+from ..session import settle
 
 CHUNK_ROWS = 1 << 16
+CELL_ROWS = 1 << 20
+LEVELS = 24  # a level divides a range by two at least
 
 
-def time_cells(df: DataFrame, time: str, target: int = 1 << 20, widest: int = 3_600_000_000) -> int:
-    """Cell width for an integer time column so that a cell holds about ``target`` rows at
-    most, even if one key holds them all. One aggregate row reaches the driver."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi")).first()
-    if not r["n"]:
-        return widest
-    return max(1, min(widest, (r["hi"] - r["lo"] + 1) * target // r["n"]))
+def measured_cells(
+    df: DataFrame, key: Sequence[str], by: Sequence[str], target: int = CELL_ROWS
+) -> tuple[DataFrame, list[str], DataFrame]:
+    """Cells from measured counts: ``df`` with the cell columns, their names, and the rows ``_n`` per key and cell.
+
+    A key's range of the first ``by`` column (numbers) is cut evenly; every cell that holds more than ``target`` rows
+    is cut again over the range it really covers, so a burst or a single value far away costs a level, not
+    a task. Rows equal in a column are cut by the next one, and only rows equal in all of them stay together.
+    Cells ascend with ``by``, nulls first. The cell tables hold a few rows per ``target`` rows and are only joined.
+    """
+    key, names = list(key), []
+    spans = [f(c).cast("double").alias(f"_{n}{i}") for i, c in enumerate(by) for n, f in (("lo", F.min), ("hi", F.max))]
+    counts = settle(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *spans), "cells")
+
+    def spread(i: int) -> Column:
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        return F.coalesce((lo < hi) & (hi - lo < float("inf")), F.lit(False))
+
+    varies = F.lit(False)
+    for i in range(len(by)):
+        varies = varies | spread(i)
+    heavy = counts.where((F.col("_n") > target) & varies)
+    for level in range(LEVELS):
+        if heavy.isEmpty():
+            break
+        at = [*key, *names]
+        parts = F.ceil(2 * F.col("_n") / target)
+        number = F.lit(0).cast("bigint")
+        for i in reversed(range(len(by))):
+            lo, hi, x = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(by[i]).cast("double")
+            here = F.coalesce(F.floor((x - lo) / (hi - lo) * parts), F.lit(-1))
+            number = F.when(spread(i), here).otherwise(number)
+        fresh = [f"_at{i}" for i in range(len(at))]
+        edges = [f"_{n}{i}" for i in range(len(by)) for n in ("lo", "hi")]
+        small = heavy.select(*[F.col(c).alias(n) for c, n in zip(at, fresh)], "_n", *edges)
+        hit = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(at, fresh)]
+        name = f"_measured{level}"
+        df = df.join(small, hit, "left").withColumn(name, F.coalesce(F.when(F.col("_n").isNotNull(), number), F.lit(0)))
+        df = df.drop(*small.columns)
+        names.append(name)
+        counts = settle(df.groupBy(*key, *names).agg(F.count(F.lit(1)).alias("_n"), *spans), "cells")
+        heavy = counts.where((F.col("_n") > target) & varies)
+    return df, names, counts.select(*key, *names, "_n")
 
 
 def _named_cells(df: DataFrame, cells: Sequence[Column]) -> tuple[DataFrame, list[str]]:
@@ -56,21 +95,24 @@ def positions(
     df: DataFrame,
     key: Sequence[str],
     by: Sequence[str],
-    cells: Sequence[Column],
+    cells: Sequence[Column] | None = None,
     out: str = "pos",
     total: str | None = None,
 ) -> DataFrame:
     """1-based position of each row in its key's total order ``by``. Rows with a null key
     belong to no series and are left out, as grouped pandas operations do.
 
-    ``cells`` must be monotone in ``by`` (rows of a smaller cell come first). Counts per
-    cell are combined map-side; only the count table is scanned per key.
+    ``cells`` must be monotone in ``by`` (rows of a smaller cell come first); without them they are
+    measured. Counts per cell are combined map-side; only the count table is scanned per key.
     """
     key = list(key)
-    df, names = _named_cells(df, cells)
-    counts = df.groupBy(*key, *names).agg(F.count(F.lit(1)).alias("_n"))
+    if cells is None:
+        df, names, counts = measured_cells(df, key, by)
+    else:
+        df, names = _named_cells(df, cells)
+        counts = df.groupBy(*key, *names).agg(F.count(F.lit(1)).alias("_n"))
     per_key = Window.partitionBy(*key)
-    before = per_key.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    before = per_key.orderBy(*(names or key)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if total:
         offsets = offsets.withColumn(total, F.sum("_n").over(per_key))
@@ -87,16 +129,18 @@ def running_sum(
     df: DataFrame,
     key: Sequence[str],
     by: Sequence[str],
-    cells: Sequence[Column],
+    cells: Sequence[Column] | None,
     sums: dict[str, str],
     exclusive: bool = False,
+    target: int = CELL_ROWS,
 ) -> DataFrame:
-    """Running sums ``{source column: output column}`` along the order, cell by cell."""
+    """Running sums ``{source column: output column}`` along the order, cell by cell (measured ones of about
+    ``target`` rows if none are given)."""
     key = list(key)
-    df, names = _named_cells(df, cells)
+    df, names = _named_cells(df, cells) if cells is not None else measured_cells(df, key, by, target)[:2]
     totals = df.groupBy(*key, *names).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     before = (
-        Window.partitionBy(*key).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*key).orderBy(*(names or key)).rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(
         *key, *names,

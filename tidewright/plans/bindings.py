@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import HOUR, hash31, idiv, micros
-from ..operators.ordered import positions, time_cells
+from ..operators.ordered import positions
 from ..operators.resample import dense_grid
 from ..session import settle
 
@@ -53,9 +53,9 @@ class Tables:
         )
 
     def ser_pos(self, masked: bool = False) -> DataFrame:
-        """SER with its position per key; time cells keep one type out of one task."""
+        """SER with its position per key; measured cells keep one type out of one task."""
         ser = self.ser(masked)
-        return positions(ser, ["key"], ["t", "event_id"], [idiv("t", time_cells(ser, "t"))])
+        return positions(ser, ["key"], ["t", "event_id"])
 
     def grid(self, masked: bool = False, total: bool = False) -> DataFrame:
         """Dense hourly grid: key, h (hour number), pos, n (count), v (mean or null)."""

@@ -2,9 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import DAY, HOUR, hash31, idiv, micros
+from ..functions.exprs import DAY, hash31, idiv, micros
 from ..operators import alarms, joins
-from ..operators.ordered import time_cells
 from .bindings import h31, rnd
 from .q_sources import out
 from .registry import query
@@ -63,7 +62,7 @@ def join_asof(t):
         (origin + idiv(micros("o_orderdate") - start, 80)).alias("at_us"),
     )
     ser = t.ser()
-    j = joins.asof(o, ser, ["key"], "at_us", "t", "event_id", "value", time_cells(ser, "t", widest=6 * HOUR))
+    j = joins.asof(o, ser, ["key"], "at_us", "t", "event_id", "value")
     return j.withColumn("matched_t", F.col("matched_t").cast("double"))
 
 

@@ -109,7 +109,7 @@ def src_event_log(t):
         F.col("event_type").alias("code"),
     )
     parsed = text.withColumn("us", micros(F.to_timestamp("triage")))
-    return positions(parsed, ["code"], ["us", "event_id"], [idiv("us", HOUR)], "arrival").drop("us")
+    return positions(parsed, ["code"], ["us", "event_id"], out="arrival").drop("us")
 
 
 @query(
