@@ -151,3 +151,48 @@ def test_kde_tiles_are_exact(spark, tile, kernel):
             assert got[(slot, v)] is None
         else:
             assert got[(slot, v)] == pytest.approx(want, rel=1e-9)
+
+
+def chained_by_hand(x, ridge):
+    """Equations from pairwise covariances, Gauss-Seidel rounds row by row."""
+    n, d = x.shape
+    mean = np.nanmean(x, axis=0)
+    c = x - mean
+    cov = np.array([[np.nanmean(c[:, i] * c[:, j]) for j in range(d)] for i in range(d)])
+    s = np.sqrt(np.diag(cov))
+    corr = cov / np.outer(s, s)
+    out = np.where(np.isnan(x), np.nanmedian(x, axis=0), x)
+    for i in range(n):
+        for _ in range(300):
+            for j in np.flatnonzero(np.isnan(x[i])):
+                o = [k for k in range(d) if k != j]
+                b = np.linalg.solve(corr[np.ix_(o, o)] + ridge * np.eye(d - 1), corr[o, j]) * s[j] / s[o]
+                out[i, j] = mean[j] + (out[i, o] - mean[o]) @ b
+    return out
+
+
+def test_chained_equations_reach_the_fixed_point(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(120, 4)) @ rng.normal(size=(4, 4)) + [5, -3, 100, 0]
+    x[rng.random(x.shape) < 0.25] = np.nan
+    pdf = pd.DataFrame(x, columns=list("abcd")).assign(id=np.arange(120), e=np.nan, g="x")
+    df = spark.createDataFrame(pdf).repartition(3)
+    got = fill.fill_chained(df, list("abcd"), ridge=0.01).toPandas().sort_values("id")
+    want = chained_by_hand(x, 0.01)
+    np.testing.assert_allclose(got[[f"{c}_filled" for c in "abcd"]].to_numpy(), want, rtol=1e-6, atol=1e-6)
+    with_empty = fill.fill_chained(df, ["a", "e"]).toPandas()
+    assert with_empty["e_filled"].isna().all()
+    assert np.allclose(with_empty["a_filled"], with_empty["a"].fillna(with_empty["a"].median()))
+
+
+def test_chained_equations_use_the_best_predictors(spark):
+    rng = np.random.default_rng(10)
+    a = rng.normal(size=2000)
+    y = 2 * a + 0.01 * rng.normal(size=2000)
+    pdf = pd.DataFrame({"y": np.where(rng.random(2000) < 0.3, np.nan, y), "a": a, "z": rng.normal(size=2000), "truth": y})
+    got = fill.fill_chained(spark.createDataFrame(pdf), ["y", "a", "z"], top=1, ridge=0.0).toPandas()
+    # The slope comes from a covariance and a variance over different rows, so it is right to a few per cent only.
+    assert np.abs(got["y_filled"] - got["truth"]).mean() < 0.05 and np.corrcoef(got["y_filled"], got["truth"])[0, 1] > 0.999
+    assert fill.chained_equations(spark.createDataFrame(pdf), ["y", "a", "z"], top=1)[1][0, 2] == 0
+    nothing = spark.createDataFrame([], "y double, a double")
+    assert fill.fill_chained(nothing, ["y", "a"]).count() == 0

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import idiv, scalar_row
 from ..session import settle
+from .gram import cross_products
 from .ordered import CHUNK_ROWS, framed, neighbours, positions
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, melt
 
 
 def _between(value: str, axis: str) -> Column:
@@ -215,6 +218,75 @@ def fill_regression(
     return model.transform(with_x).withColumn(out, F.coalesce(F.col(target), guess)).drop("_x", "_pred")
 
 
+def chained_equations(
+    df: DataFrame, columns: Sequence[str], top: int | None = None, ridge: float = 1e-3
+) -> tuple[np.ndarray, np.ndarray]:
+    """(means, coefficients[j, k] of column k in the equation of column j) from one pass of pairwise products.
+
+    Every column is regressed on the ``top`` others most correlated with it (all, without ``top``). Covariances come
+    from the rows that have both columns, so a pairwise matrix that isn't positive is brought to the nearest that is.
+    """
+    p = cross_products(df, columns)
+    d = len(columns)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = np.nan_to_num(p.products / p.both)
+    np.fill_diagonal(cov, np.nan_to_num(np.diag(p.squares) / np.maximum(np.diag(p.both), 1)))
+    spread = np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0))
+    corr = cov / np.outer(spread, spread)
+    values, vectors = np.linalg.eigh(corr) if d else (np.zeros(0), np.zeros((0, 0)))
+    if d and values.min() < 0:
+        corr = (vectors * np.maximum(values, 0.0)) @ vectors.T
+    coef = np.zeros((d, d))
+    for j in range(d):
+        others = [k for k in range(d) if k != j and corr[j, k] != 0 and corr[k, k] > 0]
+        chosen = sorted(others, key=lambda k: (-abs(corr[j, k]), k))[:top]
+        if chosen:
+            own = corr[np.ix_(chosen, chosen)] + ridge * np.eye(len(chosen))
+            coef[j, chosen] = np.linalg.solve(own, corr[chosen, j]) * spread[j] / spread[chosen]
+    return p.mean, coef
+
+
+def fill_chained(
+    df: DataFrame, columns: Sequence[str], top: int | None = None, ridge: float = 1e-3,
+    rounds: int = 200, tol: float = 1e-10, suffix: str = "_filled",
+) -> DataFrame:
+    """All columns filled by chained equations: ``{column}{suffix}`` for each.
+
+    The equations are fitted once; the rounds run within a row. A missing value starts at the column's median and
+    takes the value of its equation, column after column with the newest values of the others, until no value
+    moves by ``tol`` standard deviations. A column without a predictor keeps its median; one without any value stays
+    null. NaN counts as missing. d * d numbers reach the driver, whatever the number of rows.
+    """
+    columns = list(columns)
+    mean, coef = chained_equations(df, columns, top, ridge)
+    long = melt(df, [], columns).where(~F.isnan("value"))
+    medians = {r["feature"]: r["q"] for r in exact_quantiles(long, ["feature"], "value", {"q": 0.5}).collect()}
+    start = np.array([medians.get(c, np.nan) for c in columns], dtype=float)
+    scale = np.maximum(np.abs(np.nan_to_num(start)), 1.0)
+    equations = [j for j in range(len(columns)) if coef[j].any() and not np.isnan(start[j])]
+
+    @F.pandas_udf("array<double>")
+    def filled(rows: pd.Series) -> pd.Series:
+        x = np.array([np.array(r, dtype=float) for r in rows]).reshape(len(rows), len(columns))
+        missing = np.isnan(x)
+        x = np.where(missing, start, x)
+        for _ in range(rounds if missing.any() else 0):
+            moved = 0.0
+            for j in equations:
+                at = np.flatnonzero(missing[:, j])
+                if len(at):
+                    value = mean[j] + (x[at] - mean) @ coef[j]
+                    moved = max(moved, float(np.abs(value - x[at, j]).max()) / scale[j])
+                    x[at, j] = value
+            if moved <= tol:
+                break
+        return pd.Series(list(x))
+
+    done = df.withColumn("_chained", filled(F.array(*[F.col(c).cast("double") for c in columns])))
+    values = {f"{c}{suffix}": F.nanvl(F.get("_chained", F.lit(i)), F.lit(None)) for i, c in enumerate(columns)}
+    return done.withColumns(values).drop("_chained")
+
+
 def gp_posterior(
     df: DataFrame, key: Sequence[str], pos: str, value: str,
     amplitude: float, length: float, period: float, period_length: float,
@@ -224,8 +296,6 @@ def gp_posterior(
 
     Every key is an independent series and is solved as a whole, in one group and in the cube of its
     observed rows: the caller's key columns (a day, a week) must keep series small."""
-    import numpy as np
-
     def kernel(a, b):
         gap = np.abs(a[:, None] - b[None, :])
         smooth = amplitude * np.exp(-0.5 * (gap / length) ** 2)

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions.exprs import scalar_row, unit_hash
-from ..operators import models, relevance
+from ..operators import fill, models, relevance
+from ..session import settle
 from .bindings import h31, rnd
 from .q_sources import out
 from .q_windows import SM, sales_positions
@@ -94,3 +95,30 @@ def fs_subset_two(t):
     f = t.feat().withColumn("kprice", F.col("price") / 1000.0)
     train, test = f.where(unit_hash("oid", 51) < 0.7), f.where(unit_hash("oid", 51) >= 0.7)
     return out(relevance.subset_search(train, test, ["qty", "psize"], "kprice"), 4)
+
+
+@query(
+    "fill_chained_two",
+    f"""WITH x AS (SELECT oid, ln, CASE WHEN (oid * 7 + ln) % 10 NOT IN (3, 7) THEN qty END AS a,
+                          CASE WHEN (oid * 7 + ln) % 10 NOT IN (5, 7) THEN price END AS b FROM feat),
+        m AS (SELECT avg(a) AS ma, avg(b) AS mb FROM x),
+        c AS (SELECT avg((a - ma) * (b - mb)) AS ab, avg((a - ma) * (a - ma)) AS aa, avg((b - mb) * (b - mb)) AS bb FROM x, m)
+        SELECT oid, ln, {rnd('coalesce(a, ma + ab / bb / 1.001 * (b - mb), ma)', 4)} AS a,
+               {rnd('coalesce(b, mb + ab / aa / 1.001 * (a - ma), mb)', 3)} AS b FROM x, m, c""",
+)
+def fill_chained_two(t):
+    """With two columns an equation has one predictor; where both are missing the rounds end at the means."""
+    place = F.pmod(F.col("oid") * 7 + F.col("ln"), F.lit(10))
+    f = t.feat().select(
+        "oid", "ln", F.when(~place.isin(3, 7), F.col("qty")).alias("a"), F.when(~place.isin(5, 7), F.col("price")).alias("b")
+    )
+    f = fill.fill_chained(settle(f, "feat"), ["a", "b"]).select("oid", "ln", F.col("a_filled").alias("a"), F.col("b_filled").alias("b"))
+    return out(f, 4, b=3)
+
+
+@query("fill_chained")
+def fill_chained(t):
+    """Every numeric feature from its four best predictors."""
+    names = ["qty", "price", "disc", "tax", "psize", "retail", "total"]
+    f = fill.fill_chained(t.feat_table(masked=True).select("oid", "ln", *names), names, top=4)
+    return out(f.select("oid", "ln", F.col("qty_filled").alias("qty"), F.col("price_filled").alias("price")), 3)
