@@ -81,7 +81,7 @@ def exact_groups(
     text_col: str = "text",
     digest=sha256,
     store: str | None = None,
-    batch_bytes: int = 64 << 30,
+    batch_bytes: int = 256 << 20,
 ) -> DataFrame:
     """One row per document: locator, id, keep_id, stays (locator of the row that stays), n, kept, digest.
 
