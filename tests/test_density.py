@@ -55,3 +55,21 @@ def test_rule_without_a_key(spark):
     one = density.bandwidth_rule(df, [], "v").first()["h"]
     per = density.bandwidth_rule(df.withColumn("k", F.lit(1)), ["k"], "v").first()["h"]
     assert one == per
+
+
+def test_mixture_scores_every_row(spark):
+    """Rows without a feature keep their place; the others' density is that of the fitted mixture."""
+    from tidewright.operators import anomaly
+
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"id": range(202), "a": np.r_[rng.normal(2, 3, 200), np.nan, 1.0], "b": np.r_[rng.normal(0, 1, 201), np.nan]})
+    df = spark.createDataFrame(pdf).withColumn("b", F.nanvl("b", F.lit(None)))
+    model = anomaly.fit_mixture(anomaly.assemble(df, ["a", "b"]), "x", 2, seed=1)
+    got = anomaly.score_mixture(df, ["a", "b"], model).toPandas().sort_values("id")
+    assert len(got) == 202 and got["log_density"].tail(2).isna().all() and got["component"].tail(2).isna().all()
+    x, total = pdf[["a", "b"]].to_numpy()[:200], 0.0
+    for w, g in zip(model.weights, model.gaussians):
+        z, cov = x - g.mean.toArray(), g.cov.toArray()
+        e = -0.5 * np.einsum("ni,ij,nj->n", z, np.linalg.inv(cov), z) - np.log(2 * np.pi) - 0.5 * np.log(np.linalg.det(cov))
+        total = total + w * np.exp(e)
+    np.testing.assert_allclose(got["log_density"].head(200), np.log(total), rtol=1e-5)

@@ -134,6 +134,21 @@ def test_measured_cells_with_nulls_and_no_order(spark):
     assert [got[k] for k in [(None, i) for i in range(50)] + [(9, i) for i in range(50)]] == list(range(1, 101))
 
 
+def test_running_sums_without_a_key_on_a_skewed_score(spark):
+    """AUC over one key whose scores lie in a thousandth of their range, in cells of 50 scores."""
+    from tidewright.operators import alarms
+
+    rng = np.random.default_rng(3)
+    s = np.r_[rng.random(3000) / 1000, 1e6]
+    y = (rng.random(3001) < 0.3).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"s": s, "y": y}))
+    order = np.argsort(s)
+    below = np.cumsum(1 - y[order]) - (1 - y[order])
+    want = below[y[order] == 1].sum() / (y.sum() * (1 - y).sum())
+    assert alarms.roc_auc(df, "y", "s", cells=50).first()["auc"] == pytest.approx(want)
+    assert alarms.roc_auc(df, "y", "s").first()["auc"] == pytest.approx(want)
+
+
 @pytest.mark.parametrize("kind", ["burst", "one bad time", "shrinking"])
 def test_positions_and_asof_on_measured_cells(spark, kind, monkeypatch):
     from tidewright.operators import joins

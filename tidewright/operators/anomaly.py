@@ -49,9 +49,20 @@ def log_density(x: Column, model: GaussianMixtureModel, dims: int) -> Column:
     return top + F.log(F.aggregate(parts, F.lit(0.0), lambda s, v: s + F.exp(v - top)))
 
 
+def score_mixture(rows: DataFrame, columns: Sequence[str], model: GaussianMixtureModel) -> DataFrame:
+    """``mixture_density`` of all ``rows``; rows that lack a feature stay, with null outputs."""
+    kept = VectorAssembler(inputCols=list(columns), outputCol="_features", handleInvalid="keep").transform(rows)
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    done = mixture_density(kept.withColumn("_whole", whole), "_features", model, len(columns))
+    outputs = ["log_density", "component", "top_posterior"]
+    return done.withColumns({c: F.when(F.col("_whole"), F.col(c)) for c in outputs}).drop("_features", "_whole")
+
+
 def mixture_density(df: DataFrame, features: str, model: GaussianMixtureModel, dims: int) -> DataFrame:
     """Log density, most likely component and its posterior per row."""
-    scored = model.setPredictionCol("component").transform(df)
+    scored = model.setFeaturesCol(features).setPredictionCol("component").transform(df)
     return scored.withColumn("_x", vector_to_array(features)).withColumns({
         "log_density": log_density(F.col("_x"), model, dims),
         "top_posterior": F.array_max(vector_to_array("probability")),

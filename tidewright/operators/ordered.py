@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import idiv
+from ..functions.exprs import ALL, attach, idiv
 from ..session import settle
 
 CHUNK_ROWS = 1 << 16
@@ -60,13 +60,15 @@ def measured_cells(
             lo, hi, x = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(by[i]).cast("double")
             here = F.coalesce(F.floor((x - lo) / (hi - lo) * parts), F.lit(-1))
             number = F.when(spread(i), here).otherwise(number)
+        edges = ["_n", *[f"_{n}{i}" for i in range(len(by)) for n in ("lo", "hi")]]
         fresh = [f"_at{i}" for i in range(len(at))]
-        edges = [f"_{n}{i}" for i in range(len(by)) for n in ("lo", "hi")]
-        small = heavy.select(*[F.col(c).alias(n) for c, n in zip(at, fresh)], "_n", *edges)
-        hit = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(at, fresh)]
+        if at == [ALL]:  # a join on a constant would be a cross join
+            df = attach(df, heavy.select(ALL, *edges), at)
+        else:
+            small = heavy.select(*[F.col(c).alias(n) for c, n in zip(at, fresh)], *edges)
+            df = df.join(small, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(at, fresh)], "left")
         name = f"_measured{level}"
-        df = df.join(small, hit, "left").withColumn(name, F.coalesce(F.when(F.col("_n").isNotNull(), number), F.lit(0)))
-        df = df.drop(*small.columns)
+        df = df.withColumn(name, F.coalesce(F.when(F.col("_n").isNotNull(), number), F.lit(0))).drop(*edges, *fresh)
         names.append(name)
         counts = settle(df.groupBy(*key, *names).agg(F.count(F.lit(1)).alias("_n"), *spans), "cells")
         heavy = counts.where((F.col("_n") > target) & varies)
@@ -81,6 +83,12 @@ def _named_cells(df: DataFrame, cells: Sequence[Column]) -> tuple[DataFrame, lis
     return df.withColumns({n: F.coalesce(F.col(n), _lowest(kinds[n])) for n in names}), names
 
 
+def _with_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    for k in key:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
 def _lowest(kind: str) -> Column:
     if kind == "string":
         return F.lit("")
@@ -108,11 +116,15 @@ def positions(
     key = list(key)
     if cells is None:
         df, names, counts = measured_cells(df, key, by)
+        if not names:  # no key has more rows than a cell
+            rank = F.row_number().over(Window.partitionBy(*key).orderBy(*by)).cast("bigint")
+            df = df.withColumn(out, rank) if total is None else attach(df.withColumn(out, rank), counts.withColumnRenamed("_n", total), key)
+            return _with_key(df, key)
     else:
         df, names = _named_cells(df, cells)
         counts = df.groupBy(*key, *names).agg(F.count(F.lit(1)).alias("_n"))
     per_key = Window.partitionBy(*key)
-    before = per_key.orderBy(*(names or key)).rowsBetween(Window.unboundedPreceding, -1)
+    before = per_key.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if total:
         offsets = offsets.withColumn(total, F.sum("_n").over(per_key))
@@ -138,15 +150,19 @@ def running_sum(
     ``target`` rows if none are given)."""
     key = list(key)
     df, names = _named_cells(df, cells) if cells is not None else measured_cells(df, key, by, target)[:2]
+    end = -1 if exclusive else 0
+    if not names:  # no key has more rows than a cell
+        whole = Window.partitionBy(*key).orderBy(*by).rowsBetween(Window.unboundedPreceding, end)
+        df = df.withColumns({o: F.coalesce(F.sum(c).over(whole), F.lit(0)) for c, o in sums.items()})
+        return _with_key(df, key)
     totals = df.groupBy(*key, *names).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     before = (
-        Window.partitionBy(*key).orderBy(*(names or key)).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*key).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(
         *key, *names,
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
     )
-    end = -1 if exclusive else 0
     local = (
         Window.partitionBy(*key, *names).orderBy(*by).rowsBetween(Window.unboundedPreceding, end)
     )

@@ -146,11 +146,9 @@ _GX = ["qty", "price", "retail"]
 
 @query("den_gmm")
 def den_gmm(t):
-    x = anomaly.assemble(t.feat_table(), _GX)
-    m = anomaly.fit_mixture(x, "x", 3, seed=7)
-    return out(anomaly.mixture_density(x, "x", m, len(_GX)).select(
-        "oid", "ln", "log_density", "component", "top_posterior"
-    ))
+    f = t.feat_table()
+    m = anomaly.fit_mixture(anomaly.assemble(f, _GX), "x", 3, seed=7)
+    return out(anomaly.score_mixture(f, _GX, m).select("oid", "ln", "log_density", "component", "top_posterior"))
 
 
 @query("den_gmm_select")
