@@ -154,9 +154,10 @@ FAN = 64
 
 def ewm_mean(
     df: DataFrame, key: Sequence[str], pos: str, value: str, alpha: float, out: str,
-    chunk: int = FAN,
+    chunk: int = FAN, sums: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Adjusted exponentially weighted mean; weights also decay across null rows.
+    """Adjusted exponentially weighted mean; weights also decay across null rows. ``sums`` names columns for
+    its numerator and denominator.
 
     (numerator, denominator) is a linear recurrence. A chunk of rows is summarised by its decayed
     sums, ``FAN`` chunks by theirs, and so on until a key has ``FAN`` summaries or fewer; the state
@@ -182,16 +183,17 @@ def ewm_mean(
         n = acc["s"]["n"] * gap + F.coalesce(r["_x"], F.lit(0.0))
         d = acc["s"]["d"] * gap + F.when(r["_x"].isNotNull(), 1.0).otherwise(0.0)
         now = F.struct(n.alias("n"), d.alias("d"))
-        mean = F.struct(r["_row"].alias("row"), F.try_divide(n, d).alias("mean"))
+        mean = F.struct(r["_row"].alias("row"), now.alias("sums"), F.try_divide(n, d).alias("mean"))
         return F.struct(r["_p"].alias("p"), now.alias("s"), F.concat(acc["out"], F.array(mean)).alias("out"))
 
-    kind = f"array<struct<row:{df.schema.simpleString()},mean:double>>"
+    kind = f"array<struct<row:{df.schema.simpleString()},sums:struct<n:double,d:double>,mean:double>>"
     before = (F.col("_chunk") * chunk).cast(dict(df.dtypes)[pos])
     start = F.struct(before.alias("p"), state.alias("s"), F.array().cast(kind).alias("out"))
     done = rows.join(carried, [*key, "_chunk"]).select(
         F.explode(F.aggregate("_rows", start, step, lambda acc: acc["out"])).alias("_r")
     )
-    return done.select("_r.row.*", F.col("_r.mean").alias(out))
+    parts = [F.col(f"_r.sums.{f}").alias(c) for f, c in zip("nd", sums or ())]
+    return done.select("_r.row.*", F.col("_r.mean").alias(out), *parts)
 
 
 def _carry_decay(ends: DataFrame, key: list[str], factor: float) -> DataFrame:

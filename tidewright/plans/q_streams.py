@@ -10,8 +10,12 @@ from .q_sources import out
 from .registry import query
 
 
+BATCH = 256 << 30  # bytes of files in a micro-batch
+YEAR = 365 * DAY
+
+
 def events(t):
-    e = streams.read_table_stream(t.spark, t.path("events"))
+    e = streams.read_table_stream(t.spark, t.path("events"), bytes_per_trigger=BATCH)
     return e.withColumn("at", streams.event_time("ts")).withColumnRenamed("event_type", "key")
 
 
@@ -51,8 +55,8 @@ def st_threshold_alarm(t):
 def st_stateful_ewm_fill(t):
     e = events(t).withColumn("value", F.when(F.col("event_id") % 10 != 3, F.col("value")))
     e = e.select("key", "event_id", micros("ts").alias("t"), "value")
-    s = streams.ewm_fill(e, "key", ["t", "event_id"], "event_id", "value", 0.3)
-    return out(streams.drain(s, "ewm"))
+    s = streams.ewm_fill(e, "key", ["t", "event_id"], "event_id", "value", 0.3, "t", YEAR)
+    return out(streams.drain_carried(e, s, "ewm"))
 
 
 @query(
@@ -62,10 +66,10 @@ def st_stateful_ewm_fill(t):
         SELECT machine, min(pos) AS stop FROM r WHERE pred < 2 GROUP BY 1""",
 )
 def st_first_stop(t):
-    line = streams.read_table_stream(t.spark, t.path("lineitem"))
+    line = streams.read_table_stream(t.spark, t.path("lineitem"), bytes_per_trigger=BATCH)
     pred = F.pmod(hash31(F.expr("l_orderkey * 64 + l_linenumber * 8 + l_suppkey"), 61), F.lit(200))
     line = line.withColumn("pred", pred).withColumnRenamed("l_suppkey", "machine")
-    return streams.drain(streams.first_stop(line, "machine", MACH_ORDER, "pred", 2), "stop")
+    return streams.drain_carried(line, streams.first_stop(line, "machine", MACH_ORDER, "pred", 2), "stop")
 
 
 @query("st_window_hits", 'SELECT s.event_id, w.pos FROM ser s JOIN windows w ON s.t >= w."begin" AND s.t < w."end"')
