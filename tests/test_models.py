@@ -156,6 +156,33 @@ def test_forecasts_follow_a_trend(spark):
     np.testing.assert_allclose(rec["forecast"], 100 + 2.0 * np.arange(60, 63), atol=0.5)
 
 
+def test_ar_equals_least_squares_on_the_series(spark):
+    """Sums per key and number of lags give the fit that all rows of a key give; null rows don't count."""
+    rng = np.random.default_rng(8)
+    series = {"a": np.cumsum(rng.normal(0, 1, 80)) + 5 * np.sin(np.arange(80) * np.pi / 6), "b": rng.normal(9, 1, 40), "c": np.array([3.0, 5.0])}
+    table = [(k, i + 1, float(x)) for k, v in series.items() for i, x in enumerate(v)] + [("c", 3, None), (None, 1, 1.0)]
+    got = models.ar_forecast(spark.createDataFrame(table, "k string, pos bigint, v double"), "k", "pos", "v", 3, 4).toPandas()
+    assert set(got["k"]) == set(series)
+    for k, v in series.items():
+        d, at = np.diff(v), np.arange(2, len(v) + 1)
+        fits = []
+        for o in range(1, 4):
+            if len(d) < 2 * o + 6:
+                break
+            x = np.array([[1.0, *d[i - o : i][::-1], np.sin(at[i] * np.pi / 6), np.cos(at[i] * np.pi / 6)] for i in range(o, len(d))])
+            b = np.linalg.lstsq(x, d[o:], rcond=None)[0]
+            fits.append((len(x) * np.log(((d[o:] - x @ b) ** 2).mean()) + 2 * x.shape[1], o, b))
+        past, level = list(d[::-1]), v[-1]
+        own = got[got["k"] == k].sort_values("step")
+        order, b = min(fits, key=lambda f: f[0])[1:] if fits else (0, None)
+        for h, r in enumerate(own.itertuples(), 1):
+            season = (len(v) + h) * np.pi / 6
+            past.insert(0, float(b @ np.r_[1.0, past[:order], np.sin(season), np.cos(season)]) if order else 0.0)
+            level += past[0]
+            assert r.ar_order == order and r.pos == len(v) + h
+            np.testing.assert_allclose(r.forecast, level, rtol=1e-8)
+
+
 def test_asof_with_small_cells(spark):
     rng = np.random.default_rng(4)
     left = pd.DataFrame({"k": "a", "at": rng.integers(0, 300, 80), "id": np.arange(80)})

@@ -3,7 +3,7 @@ metric table; only coefficients and metrics reach the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import attach, hash31
+from .ordered import framed, positions
 
 
 def vectorise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -184,57 +185,86 @@ def stack(
     }).drop("_b0", "_b1")
 
 
-def _lagged(y: np.ndarray, lags: Sequence[int], extra: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    deep = max(lags)
-    cols = [np.ones(len(y) - deep), *[y[deep - k : len(y) - k] for k in lags]]
-    if extra is not None:
-        cols += [extra[deep:, j] for j in range(extra.shape[1])]
-    return np.column_stack(cols), y[deep:]
-
-
 def ar_forecast(
-    df: DataFrame, key: str, pos: str, value: str, max_order: int, horizon: int, season: int = 12
+    df: DataFrame, key: str, pos: str, value: str, max_order: int, horizon: int, season: int | None = 12
 ) -> DataFrame:
     """Per key: difference once, least-squares AR with the order of lowest AIC and sin / cos of
-    the season as exogenous columns, recursive forecast of ``horizon`` steps.
+    the season (None: neither) as exogenous columns, recursive forecast of ``horizon`` steps.
 
-    Meant for aggregated series (one row per calendar cell), so a key's group stays small.
+    Rows only meet in bounded frames and in sums: the products of a row's difference, lags and season columns are added
+    up per key and number of lags at hand, so the equations of every order follow from ``max_order + 1`` rows
+    per key, however long its series. Rows with a null key or value are left out; a key with fewer than
+    eight differences keeps its last value (order 0).
     """
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos)
-        y, at = pdf[value].to_numpy(dtype=float), pdf[pos].to_numpy()
-        d = np.diff(y)
-
-        def wave(p):
-            a = 2 * np.pi * np.asarray(p) / season
-            return np.column_stack([np.sin(a), np.cos(a)])
-
-        best = None
-        for order in range(1, max_order + 1):
-            if len(d) < 2 * order + 6:
-                break
-            x, t = _lagged(d, range(1, order + 1), wave(at[1:]))
-            b = np.linalg.lstsq(x, t, rcond=None)[0]
-            sse = float(((t - x @ b) ** 2).sum())
-            aic = len(t) * np.log(max(sse, 1e-12) / len(t)) + 2 * x.shape[1]
-            if best is None or aic < best[0]:
-                best = (aic, order, b)
-        rows, past, level = [], list(d), y[-1]
+    p = max_order
+    ranked = positions(df.where(F.col(value).isNotNull()).select(key, pos, value), [key], [pos], out="_i")
+
+    def lags(w: Window) -> dict:
+        v = F.col(value).cast("double")
+        return {f"_d{k}": F.lag(v, k).over(w) - F.lag(v, k + 1).over(w) for k in range(p + 1)}
+
+    rows = framed(ranked, [key], "_i", p + 1, 0, lags)
+    turn = F.col(pos) * (2 * np.pi / season) if season else None
+    waves = [F.sin(turn), F.cos(turn)] if season else []
+    names = [f"_t{j}" for j in range(p + 2 + len(waves))]  # 1, lags, waves, the difference itself
+    terms = [F.lit(1.0), *[F.coalesce(f"_d{k}", F.lit(0.0)) for k in range(1, p + 1)], *waves, F.col("_d0")]
+    n = len(terms)
+    upper = [(i, j) for i in range(n) for j in range(i, n)]
+    sums = (
+        rows.where(F.col("_d0").isNotNull())
+        .select(key, F.least(F.col("_i") - 2, F.lit(p)).alias("_lags"), *[t.alias(c) for t, c in zip(terms, names)])
+        .groupBy(key, "_lags").agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"_g{i}_{j}") for i, j in upper])
+    )
+    sums = sums.select(key, F.struct("_lags", F.array(*[f"_g{i}_{j}" for i, j in upper]).alias("g")).alias("_s"))
+    recent = F.struct(F.col(pos).cast("bigint").alias("at"), F.col(value).cast("double").alias("v"), F.array(*[f"_d{k}" for k in range(p + 1)]).alias("d"))
+    ends = rows.groupBy(key).agg(F.max_by(recent, "_i").alias("_end"))
+    per_key = ends.join(sums.groupBy(key).agg(F.collect_list("_s").alias("_sums")), key, "left")
+
+    def solve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [r for k, end, own in zip(part[key], part["_end"], part["_sums"]) for r in forecast(k, end, own)]
+            yield pd.DataFrame(found, columns=[key, pos, "step", "ar_order", "forecast"])
+
+    def forecast(k, end, own) -> Iterator[tuple]:
+        grams = np.zeros((p + 1, n, n))
+        for s in own if own is not None else []:
+            for (i, j), g in zip(upper, s["g"]):
+                grams[s["_lags"], i, j] = grams[s["_lags"], j, i] = g
+        order, b = _best_order(grams)
+        at, level = int(end["at"]), float(end["v"])
+        past = [float(x) for x in end["d"] if x is not None and x == x]
         for h in range(1, horizon + 1):
-            if best is None:
-                step, order = 0.0, 0
-            else:
-                _, order, b = best
-                step = float(b @ np.r_[1.0, past[::-1][:order], wave([at[-1] + h])[0]])
-            past.append(step)
+            step = 0.0
+            if order:
+                turn = 2 * np.pi * (at + h) / season if season else 0.0
+                step = float(b @ np.r_[1.0, past[:order], [np.sin(turn), np.cos(turn)] if season else []])
+            past.insert(0, step)
             level += step
-            rows.append((pdf[key].iloc[0], int(at[-1] + h), h, int(order), float(level)))
-        return pd.DataFrame(rows, columns=[key, pos, "step", "ar_order", "forecast"])
+            yield k, at + h, h, order, level
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, pos, value).groupBy(key).applyInPandas(
-        solve, f"{key} {kind}, {pos} bigint, step bigint, ar_order bigint, forecast double"
-    )
+    return per_key.mapInPandas(solve, f"{key} {kind}, {pos} bigint, step bigint, ar_order bigint, forecast double")
+
+
+def _best_order(grams: np.ndarray) -> tuple[int, np.ndarray]:
+    """Order of lowest AIC and its coefficients from the products of the rows with 0, 1, ... lags; the last
+    row of products is the target's. Order 0 where there is too little to fit."""
+    most, n = len(grams) - 1, grams.shape[1]
+    whole, best = grams.sum(axis=0)[0, 0], (np.inf, 0, np.zeros(0))
+    for order in range(1, most + 1):
+        if whole < 2 * order + 6:
+            break
+        g = grams[order:].sum(axis=0)
+        x = [0, *range(1, order + 1), *range(most + 1, n - 1)]
+        scale = np.sqrt(np.maximum(np.diag(g)[x], 1e-300))
+        own = g[np.ix_(x, x)] / np.outer(scale, scale)
+        b = np.linalg.lstsq(own, g[x, -1] / scale, rcond=1e-11)[0] / scale
+        r = np.r_[-b, 1.0]
+        sse = float(r @ g[np.ix_([*x, n - 1], [*x, n - 1])] @ r)
+        aic = g[0, 0] * np.log(max(sse, 1e-12) / g[0, 0]) + 2 * len(x)
+        if aic < best[0]:
+            best = (aic, order, b)
+    return best[1], best[2]
 
 
 def recursive_forecast(

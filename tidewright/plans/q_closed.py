@@ -58,6 +58,23 @@ def ml_recursive_one_lag(t):
     return out(models.recursive_forecast(s, "zone", "pos", "price", [1], 6), 2)
 
 
+@query(
+    "ml_ar_one",
+    f"""WITH {SM}, k AS (SELECT zone, m, price / 1000.0 AS v FROM sm WHERE price IS NOT NULL),
+        d AS (SELECT zone, m, v, v - lag(v) OVER (PARTITION BY zone ORDER BY m) AS d FROM k),
+        l AS (SELECT zone, d AS y, lag(d) OVER (PARTITION BY zone ORDER BY m) AS x FROM d),
+        b AS (SELECT zone, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM l WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1),
+        e AS (SELECT zone, count(d) AS n, max(m) AS m, arg_max(v, m) AS v, arg_max(d, m) AS d FROM d GROUP BY 1),
+        f AS (SELECT *, b * (1 - power(b, step)) / (1 - b) AS g FROM e LEFT JOIN b USING (zone), (SELECT unnest(range(1, 7)) AS step))
+        SELECT zone, (m + step)::BIGINT AS m, step, CASE WHEN n >= 8 THEN 1 ELSE 0 END::BIGINT AS ar_order,
+               {rnd('CASE WHEN n >= 8 THEN v + a / (1 - b) * (step - g) + d * g ELSE v END', 3)} AS forecast FROM f""",
+)
+def ml_ar_one(t):
+    """One lag of the differences and no season: slope and intercept give every forecast."""
+    s = sales_positions(t).withColumn("price", F.col("price") / 1000.0)
+    return out(models.ar_forecast(s, "zone", "m", "price", 1, 6, season=None), 3)
+
+
 @query(
     "fs_lasso_one",
     f"""SELECT 'qty' AS feature, {rnd('sign(corr(qty, price)) * greatest(abs(corr(qty, price)) * stddev_samp(price) / 1000.0 - 0.5, 0) / stddev_samp(qty)', 3)} AS score FROM feat""",
