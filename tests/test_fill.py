@@ -101,6 +101,48 @@ def test_knn_matches_brute_force(spark, lattice):
     assert (got[donors] == target[donors]).all()
 
 
+@pytest.mark.parametrize("grid, crowd", [(3, 256), (1, 8)])
+def test_knn_over_common_coordinates(spark, grid, crowd):
+    """Columns with gaps everywhere, a dense cluster and ties, against all distances."""
+    rng = np.random.default_rng(9)
+    n, k, d = 90, 3, 3
+    x = np.concatenate([rng.exponential(2.0, (n // 2, d)).round(2), rng.integers(0, 4, (n // 2, d)) * 0.2])
+    x[rng.random((n, d)) < 0.3] = np.nan
+    x[0] = np.nan
+    columns = list("abc")
+    df = spark.createDataFrame(pd.DataFrame(x, columns=columns).assign(id=np.arange(n)))
+    got = fill.fill_knn_all(df, columns, k, grid=grid, crowd=crowd).toPandas().set_index("id").sort_index()
+    assert len(got) == n
+    z = np.round(x / np.nanstd(x, axis=0), 12)
+    for j, c in enumerate(columns):
+        rest = [i for i in range(d) if i != j]
+        donors = ~np.isnan(x[:, j])
+        for i in range(n):
+            gap = (z[donors][:, rest] - z[i, rest]) ** 2
+            common = (~np.isnan(gap)).sum(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                dist = np.round(np.nansum(gap, axis=1) * (d - 1) / common, 9)
+            y, dist = x[donors, j][common > 0], dist[common > 0]
+            if donors[i]:
+                want = x[i, j]
+            elif not len(y):
+                want = np.nanmean(x[:, j])
+            else:
+                left, want = min(k, len(y)), 0.0
+                for level in np.unique(dist):
+                    use = min(left, (dist == level).sum())
+                    want, left = want + use * y[dist == level].mean(), left - use
+                want /= min(k, len(y))
+            assert abs(got[f"{c}_filled"][i] - want) < 1e-9
+
+
+def test_knn_all_of_odd_tables(spark):
+    df = spark.createDataFrame([(1, None, None), (2, 3.0, None), (3, None, None)], "id bigint, a double, b double")
+    got = {r["id"]: (r["a_filled"], r["b_filled"]) for r in fill.fill_knn_all(df, ["a", "b"], 2).collect()}
+    assert got == {1: (3.0, None), 2: (3.0, None), 3: (3.0, None)}
+    assert fill.fill_knn_all(df.limit(0), ["a", "b"], 2).count() == 0
+
+
 def test_gp_matches_closed_form(spark):
     rng = np.random.default_rng(6)
     y = np.sin(np.arange(30) / 3.0)

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import idiv, scalar_row
-from ..session import settle
+from ..session import scratch_dir, settle
 from .gram import cross_products
-from .ordered import CHUNK_ROWS, framed, neighbours, positions
+from .ordered import CHUNK_ROWS, LEVELS, framed, neighbours, positions
 from .quantiles import exact_quantiles, melt
 
 
@@ -195,6 +195,110 @@ def _ring_search(
     )
 
 
+def fill_knn_all(
+    df: DataFrame, columns: Sequence[str], k: int, suffix: str = "_filled", grid: int = 3, crowd: int = 256
+) -> DataFrame:
+    """Every column filled from the k nearest rows that have it: ``{column}{suffix}`` for each.
+
+    Distance runs over the columns that both rows have, in units of each column's standard deviation, and is scaled
+    up by all columns / common columns. Values of rows that tie at the k-th distance share the places left. A row that
+    has no column in common with any donor takes the column's mean; a column without any value stays null. NaN
+    counts as missing. Values are filled from given ones only, never from filled ones.
+    """
+    columns = list(columns)
+    df = df.withColumns({f"_x{i}": F.nanvl(F.col(c).cast("double"), F.lit(None)) for i, c in enumerate(columns)})
+    values = [f"_x{i}" for i in range(len(columns))]
+    stats = df.agg(*[F.stddev_pop(x).alias(x) for x in values], *[F.avg(x).alias(f"m{x}") for x in values]).first()
+    scaled = {x: F.round(F.col(x) / F.lit((stats[x] or 0.0) or 1.0), 12) for x in values}
+    for i, (c, x) in enumerate(zip(columns, values)):
+        names = [f"_s{j}" for j in range(len(columns) - 1)]
+        others = [scaled[v].alias(n) for v, n in zip((v for v in values if v != x), names)]
+        text = [F.coalesce(s.cast("string"), F.lit("-")) for s in (scaled[v] for v in values if v != x)]
+        df = df.withColumn(f"_q{i}", F.concat_ws(",", *text))
+        points = df.select(*others, F.col(f"_q{i}").alias("_q"), F.col(x).alias("_y")).withColumn("_has", _pattern(names))
+        donors = settle(points.where(F.col("_y").isNotNull()).groupBy(*names, "_has").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_sum")), "knn-donors")
+        queries = settle(points.where(F.col("_y").isNull()).select(*names, "_has", "_q").distinct(), "knn-queries")
+        found = _nearest_rows(queries, donors, names, k, grid, crowd)
+        mean = F.lit(stats[f"m{x}"]).cast("double")
+        if found is not None:
+            df = df.join(found.select(F.col("_q").alias(f"_q{i}"), F.col("_est").alias(f"_e{i}")), f"_q{i}", "left")
+            mean = F.coalesce(f"_e{i}", mean)
+        df = df.withColumn(f"{c}{suffix}", F.coalesce(x, mean)).drop(f"_q{i}", f"_e{i}")
+    return df.drop(*values)
+
+
+def _pattern(names: Sequence[str]) -> Column:
+    """The present coordinates as bits."""
+    return sum((F.when(F.col(n).isNotNull(), F.lit(1 << i)).otherwise(0) for i, n in enumerate(names)), F.lit(0)).cast("int")
+
+
+def _nearest_rows(queries: DataFrame, donors: DataFrame, names: list[str], k: int, grid: int, crowd: int) -> DataFrame | None:
+    """(_q, _est) of every query that has a coordinate in common with a donor.
+
+    Queries and donors meet per pair of patterns in cells over at most ``grid`` of their common coordinates: the distance
+    over some coordinates is a lower bound, so nothing within the radius is missed whatever their number.
+    The radius starts where no cell has more than ``crowd`` donors (as far as distinct donors allow) and
+    doubles for the queries whose k-th distance lies beyond it.
+    """
+    d = len(names)
+    theirs = {r["_has"]: r["n"] for r in donors.groupBy("_has").agg(F.sum("_n").alias("n")).collect()}
+    ours = [r["_has"] for r in queries.select("_has").distinct().collect()]
+    need = {q: min(k, sum(n for has, n in theirs.items() if has & q)) for q in ours}
+    if not any(need.values()):
+        return None
+    ends = donors.agg(*[(F.max(s) - F.min(s)).alias(s) for s in names]).first()
+    r = max([ends[s] or 0.0 for s in names] + [1e-6])
+
+    def cells(common: Column, radius: Column) -> list[Column]:
+        side = radius * F.sqrt(F.bit_count(common) / F.lit(float(d)))
+        below = [F.bit_count(common.bitwiseAND((1 << i) - 1)) for i in range(d)]
+        return [
+            F.when((common.bitwiseAND(1 << i) != 0) & (below[i] < grid), F.floor(F.col(n) / side))
+            for i, n in enumerate(names)
+        ]
+
+    # The largest of the radii, each half of the one before, whose heaviest cell is small.
+    own, level = F.col("_has"), F.col("_level")
+    sizes = donors.where(own != 0).withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    sizes = sizes.groupBy("_level", "_has", *[c.alias(f"_c{i}") for i, c in enumerate(cells(own, F.lit(r) / F.pow(F.lit(2.0), level)))]).count()
+    light = sizes.groupBy("_level").agg(F.max("count").alias("n")).where(F.col("n") <= crowd).agg(F.min("_level")).first()[0]
+    r /= 2.0 ** (LEVELS if light is None else light)
+    places = F.create_map(*[F.lit(x) for q, n in need.items() for x in (q, n)])
+    asking = queries.where(places[F.col("_has")] > 0).withColumn("_need", places[F.col("_has")])
+    folder, schema, pending, number = scratch_dir(donors.sparkSession, "knn-found"), "_q string, _est double", asking, 0
+    met = donors.withColumnsRenamed({"_has": "_dhas"}).withColumn("_qhas", F.explode(F.array(*map(F.lit, ours))))
+    met = met.withColumn("_common", F.col("_dhas").bitwiseAND(F.col("_qhas"))).where(F.col("_common") != 0)
+    asked = F.explode(F.array(*map(F.lit, theirs)))
+    at = [f"_c{i}" for i in range(d)]
+    while True:
+        right = met.select(
+            "_qhas", "_dhas", *[F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(cells(F.col("_common"), F.lit(r)), at)],
+            *[F.col(s).alias(f"_d{s}") for s in names], "_n", "_sum",
+        )
+        left = pending.withColumnRenamed("_has", "_qhas").withColumn("_dhas", asked)
+        left = left.withColumn("_common", F.col("_dhas").bitwiseAND(F.col("_qhas"))).where(F.col("_common") != 0)
+        for c, n in zip(cells(F.col("_common"), F.lit(r)), at):
+            left = left.withColumn(n, F.explode(F.when(c.isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.array(c - 1, c, c + 1))))
+        pairs = left.join(right, ["_qhas", "_dhas", *at])
+        apart = sum((F.coalesce((F.col(s) - F.col(f"_d{s}")) ** 2, F.lit(0.0)) for s in names), F.lit(0.0))
+        dist = F.round(apart * F.lit(float(d)) / F.bit_count("_common"), 9)
+        levels = pairs.groupBy("_q", "_need", dist.alias("_dist")).agg(F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"))
+        nearer = Window.partitionBy("_q").orderBy("_dist").rowsBetween(Window.unboundedPreceding, -1)
+        left_over = F.col("_need") - F.coalesce(F.sum("_n").over(nearer), F.lit(0))
+        used = levels.withColumn("_use", F.least(F.col("_n"), left_over)).where(F.col("_use") > 0)
+        found = used.groupBy("_q", "_need").agg(
+            F.sum("_use").alias("_got"), F.max("_dist").alias("_kth"),
+            (F.sum(F.col("_use") * F.col("_sum") / F.col("_n")) / F.sum("_use")).alias("_est"),
+        )
+        done = found.where((F.col("_got") >= F.col("_need")) & (F.col("_kth") <= r * r))
+        done.select("_q", "_est").write.mode("overwrite").parquet(f"{folder}/round{number}")
+        estimates = donors.sparkSession.read.schema(schema).parquet(f"{folder}/*")
+        pending = asking.join(estimates, "_q", "left_anti")
+        if pending.isEmpty():
+            return estimates
+        r, number = r * 2.0, number + 1
+
+
 def fill_regression(
     df: DataFrame, target: str, predictors: Sequence[str], top: int, out: str, ridge: float = 1e-3
 ) -> DataFrame:
