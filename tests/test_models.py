@@ -75,6 +75,20 @@ def test_sampled_attributions_add_up(planted):
         assert slope == pytest.approx(w[c], abs=0.25)
 
 
+def test_model_permutation_over_blocks(planted):
+    """The rise is that of pairing rows at random, whatever the block; unused columns have none."""
+    held = planted.where("id % 3 = 0").withColumn("d", F.when(F.col("id") > 0, F.col("d")))
+    got = relevance.model_permutation(held, "id", COLS, "y", lambda f: f.withColumn("pred", 5 + 4 * F.col("a") - 2 * F.col("b")), 8, 3, rows=64)
+    got = got.toPandas().set_index("feature")
+    x = held.toPandas().dropna()
+    base = (x["y"] - 5 - 4 * x["a"] + 2 * x["b"]).to_numpy()
+    for c, weight in (("a", 4), ("b", -2)):
+        pairs = base[:, None] + weight * (x[c].to_numpy()[:, None] - x[c].to_numpy()[None])
+        assert got["score"][c] == pytest.approx(np.abs(pairs).mean() - np.abs(base).mean(), rel=0.06)
+    assert got["score"][["c", "d"]].abs().max() < 1e-12 and (got["std"][["a", "b"]] > 0).all()
+    assert relevance.model_permutation(held.limit(0), "id", COLS, "y", lambda f: f.withColumn("pred", F.col("a")), 2).count() == 0
+
+
 def test_permutation_keeps_the_multiset(planted):
     p = relevance.permuted(planted.select("id", "a"), "id", ["a"], 3).toPandas()
     assert len(p) == 1500 and sorted(p["a"]) == sorted(p["p_a"]) and (p["a"] != p["p_a"]).mean() > 0.9

@@ -114,6 +114,29 @@ def fs_subset_two(t):
     return out(relevance.subset_search(train, test, ["qty", "psize"], "kprice"), 4)
 
 
+_TURN = f"({h31('id', 60)} + r * 104729)"
+
+
+@query(
+    "fs_permutation_one",
+    f"""WITH s AS (SELECT id, actual, pred, {_TRAIN} AS tr FROM scored),
+        b AS (SELECT regr_slope(actual, pred) AS b, regr_intercept(actual, pred) AS a FROM s WHERE tr),
+        n AS (SELECT ceil(count(*) / 1024.0)::BIGINT AS blocks FROM s WHERE NOT tr),
+        h AS (SELECT id, actual, pred, r, {h31(_TURN, 61)} % blocks AS block, {h31(_TURN, 62)} AS turn FROM s, n, (SELECT unnest(range(0, 20)) AS r) WHERE NOT tr),
+        p AS (SELECT *, coalesce(lead(pred) OVER w, first_value(pred) OVER w) AS other FROM h WINDOW w AS (PARTITION BY r, block ORDER BY turn, id)),
+        e AS (SELECT r, avg(abs(actual - a - b * other)) AS error, avg(abs(actual - a - b * pred)) AS whole FROM p, b GROUP BY 1)
+        SELECT 'pred' AS feature, {rnd('avg(error) - avg(whole)', 5)} AS score, {rnd('stddev(error)', 5)} AS std FROM e""",
+)
+def fs_permutation_one(t):
+    """One linear column on held-out rows: slope and intercept give every error."""
+    f = t.scored().select("id", "actual", "pred")
+    train, test = f.where(unit_hash("id", 53) < 0.8), f.where(unit_hash("id", 53) >= 0.8)
+    w0, w = relevance.linear_model(train, ["pred"], "actual")
+    test = test.withColumnRenamed("pred", "x")
+    r = relevance.model_permutation(test, "id", ["x"], "actual", lambda c: c.withColumn("pred", w0 + w["pred"] * F.col("x")), 20, 60, 1024)
+    return out(r.withColumn("feature", F.lit("pred")), 5)
+
+
 @query(
     "fill_chained_two",
     f"""WITH x AS (SELECT oid, ln, CASE WHEN (oid * 7 + ln) % 10 NOT IN (3, 7) THEN qty END AS a,

@@ -1,5 +1,6 @@
 """Queries: feature relevance and MLlib models."""
 
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31, scalar_row, unit_hash
@@ -60,6 +61,15 @@ def fs_permutation(t):
     return out(relevance.permutation_importance(f, "id", PREDICTORS, "kprice", intercept, weights, 3, 60))
 
 
+@query("fs_permutation_forest")
+def fs_permutation_forest(t):
+    """Absolute error of a forest on rows it has not seen, 20 repeats."""
+    train, test = halves(feat(t))
+    fitted = models.vectorise(train, PREDICTORS)
+    forest = RandomForestRegressor(featuresCol="_x", labelCol="kprice", predictionCol="pred", numTrees=12, maxDepth=5, seed=7).fit(fitted)
+    return out(relevance.model_permutation(test, "id", PREDICTORS, "kprice", lambda f: forest.transform(models.vectorise(f, PREDICTORS)), 20, 60))
+
+
 @query("fs_boruta")
 def fs_boruta(t):
     return out(relevance.boruta(feat(t), "id", PREDICTORS, "kprice", 6, 6, 4, 70, alpha=0.2))
