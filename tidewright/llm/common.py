@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import settle, small_batches
 
 FILE, ROW = "_at_file", "_at_row"
 LOCATOR = [FILE, ROW]
@@ -30,6 +30,7 @@ def located(docs: DataFrame) -> DataFrame:
     A place names a row even where ids are null or repeated. A DataFrame that isn't read
     straight from Parquet is written to the shared folder first.
     """
+    small_batches(docs.sparkSession)
     if FILE in docs.columns:
         return docs
     try:

@@ -37,7 +37,8 @@ def pieces(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str =
     names = [*LOCATOR, "doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_cache(vocab).encode
+        words = word_cache(vocab)
+        encode = words.encode
         for b in slices(batches):
             own, number, length, crc = [], [], [], []
             for i, text in enumerate(b.column("text")):
@@ -52,6 +53,7 @@ def pieces(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str =
                 [*columns, pa.array(number.astype(np.int32)), pa.array(number * capacity), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names,
             )
+        words.clear()  # the worker lives on for other tasks
 
     kinds = ["string", "bigint", "bigint", "int", "bigint", "bigint", "bigint"]
     return rows.mapInArrow(cut, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small_batches
 from .common import slices, whole_text
 
 SAMPLE = 10_000
@@ -145,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
     Ids with several labels count once, with their mean rounded up from one half; null labels and
     ids without a document are ignored.
     """
+    small_batches(docs.sparkSession)
     known = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
         .where("_label is not null and _id is not null")
@@ -181,6 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``SCORE``. Every row and the whole of every text is scored; null
     counts as empty. Without labels every score is one half."""
+    small_batches(docs.sparkSession)
     has_length = "n_chars" in docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(

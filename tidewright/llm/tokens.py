@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-CACHE = 1_500_000
+CACHE = 500_000  # words of a task, about 200 bytes each
 _END = b"\xff"
 _WIDE = re.compile("[^\x00-ɏ]")
 _PLAIN = re.compile("[!-~¡-ɏ]+")
