@@ -98,3 +98,19 @@ def test_best_fit_places_every_item_once():
             load[cls, first + k] += length
     assert placed == Counter(small)
     assert all(n <= (2048 if cls == 9999 else cls) for (cls, _), n in load.items())
+
+
+def test_batches_of_long_texts_stay_small(spark):
+    import pyarrow as pa
+    from conftest_llm import plain
+
+    from tidewright.llm.common import located
+    from tidewright.session import BATCH
+
+    docs = located(plain(spark, ["x" * 100_000] * 200)).select("text").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    assert max(r["n"] for r in docs.mapInArrow(sizes, "n bigint").collect()) <= BATCH + 200_000
