@@ -110,3 +110,20 @@ def test_odd_rows(spark, odd, nothing):  # noqa: F811
 def test_query(spark, sf, duck):
     got = found(queries.op13_phrases(spark, sf))
     assert got == sorted(duck.execute(queries.OP13_SQL).fetchall()) and got
+
+
+def test_what_has_had_its_cycle_is_not_carried_on(spark, monkeypatch):
+    carried = []
+
+    def kept(df, tag, settle=phrases.settle):
+        out = settle(df, tag)
+        if tag == "counts":
+            carried.append({r["len"] for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(phrases, "settle", kept)
+    docs = spark.createDataFrame([("en", "a b c d", k % 2) for k in range(8)], "lang string, text string, shard int")
+    often, words = phrases.frequent(docs, threshold=3, shards=2)
+    assert sorted((r["phrase"], r["n"]) for r in often.collect() if r["len"] == 3) == [("a b c", 8), ("b c d", 8)]
+    assert [tuple(r) for r in words.collect()] == [("en", 32)]
+    assert len(carried) > 3 and carried[0] == {1} and 1 not in carried[3] and carried[-1] == {3}

@@ -9,8 +9,9 @@ phrase that reaches the threshold is always counted in full.
 What is active is told to the scans by a table of fixed size (``SLOTS`` bytes per length): every phrase that has
 reached the threshold marks its hashed slots with the scan in which it did so, and the scan that all its
 slots allow is its start. A false hit only activates a phrase whose parts are too rare: it is counted
-over a full cycle like others and left out for its count. The driver holds these tables and nothing else; counts are
-written to the shared folder scan by scan.
+over a full cycle like others and left out for its count. The driver holds these tables and nothing else. The sums of
+what is still counted are written to the shared folder after each scan and go through the exchange of the next one;
+phrases that have had their cycle are left there.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,18 +102,27 @@ def _reached(h: np.ndarray, marks: np.ndarray) -> np.ndarray:
 
 
 class _Named:
-    """Phrases by number, spelled when asked for."""
+    """Phrases by the numbers of their first words (of ``names``, the phrases one shorter, or of words) and last one,
+    spelled when asked for."""
 
-    def __init__(self, names, words: list[bytes], first: np.ndarray, word: np.ndarray) -> None:
+    def __init__(self, names, words: pa.Array, first: np.ndarray, word: np.ndarray) -> None:
         self.names, self.words, self.first, self.word = names, words, first, word
 
-    def __getitem__(self, i: int) -> bytes:
-        return self.names[self.first[i]] + b" " + self.words[self.word[i]]
+    def take(self, at) -> pa.Array:
+        first, word = self.first[at], pa.array(self.word[at])
+        head = self.names.take(first if isinstance(self.names, _Named) else pa.array(first))
+        return pc.binary_join_element_wise(head, self.words.take(word), b" ")
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def __iter__(self) -> Iterator[bytes]:
+        return iter(self.take(slice(None)).to_pylist())
 
 
 def count_slice(
     lang: str, texts: list, scan: int, cycle: int, marks: list[np.ndarray]
-) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+) -> Iterator[tuple[int, list[bytes] | _Named, np.ndarray]]:
     """(length, phrases, counts) of what this scan has to count in the texts."""
     ids = Ids()
     at = np.concatenate([a for t in texts for a in ids.of(t)])
@@ -125,7 +136,8 @@ def count_slice(
     own[0] = NEVER
     # Per position, of the phrase that starts there: its number and the scan in which it reached the threshold.
     number, reached = at, own[at]
-    names, hashed = words, hashes
+    spelled = pa.array(words, pa.binary())
+    names, hashed = spelled, hashes
     for length in range(2, len(marks) + 2):
         start = np.maximum(reached[:-1], reached[1:]) + 1
         here = np.flatnonzero(start <= scan)
@@ -135,23 +147,24 @@ def count_slice(
         first, word = kinds // wide, kinds % wide
         begin = np.empty(len(kinds), np.int16)
         begin[back] = start[here]
-        here_names = _Named(names, words, first, word)
         due = np.flatnonzero(scan < begin + cycle)
-        yield length, [here_names[i] for i in due], np.bincount(back, minlength=len(kinds))[due]
+        yield length, _Named(names, spelled, first[due], word[due]), np.bincount(back, minlength=len(kinds))[due]
         if length > len(marks):
             return
-        names, hashed = here_names, _mixed(hashed[first], hashes[word])
+        names, hashed = _Named(names, spelled, first, word), _mixed(hashed[first], hashes[word])
         number, reached = np.zeros(len(start), np.int32), np.full(len(start), NEVER, np.int16)
         number[here], reached[here] = back, np.maximum(_reached(hashed, marks[length - 1]), begin)[back]
 
 
 def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) -> DataFrame:
-    """What scan number ``scan`` counts in the documents of its shard."""
+    """What scan number ``scan`` counts in the documents of its shard, slice by slice, and since which scan."""
 
     def batch(lang: str, texts: list, known: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         for length, phrases, n in count_slice(lang, texts, scan, cycle, known):
             for i in range(0, len(phrases), 1 << 16):
-                some = pa.array(phrases[i : i + (1 << 16)], pa.binary()).cast(pa.string())
+                part = slice(i, i + (1 << 16))
+                some = phrases.take(part) if isinstance(phrases, _Named) else pa.array(phrases[part], pa.binary())
+                some = some.cast(pa.string())
                 k = len(some)
                 columns = [pa.repeat(pa.scalar(length, pa.int32()), k), pa.repeat(lang, k), some, pa.array(n[i : i + k], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["len", "lang", "phrase", "n"])
@@ -172,7 +185,7 @@ def _counts(docs: DataFrame, scan: int, cycle: int, marks, slice_bytes: int) ->
             yield from batch(lang, texts, known)
 
     found = docs.mapInArrow(count, "len int, lang string, phrase string, n bigint")
-    return found.groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
+    return found.withColumn("since", F.when(F.col("len") == 1, 0).otherwise(scan))
 
 
 def _mark(often: DataFrame, scan: int, marks: np.ndarray) -> bool:
@@ -211,35 +224,31 @@ def frequent(
     docs.write.partitionBy("shard").parquet(path)
     dealt = spark.read.schema(docs.schema).parquet(path)
     marks = [np.full(slots, NEVER, np.uint8) for _ in range(longest - 1)]
-    parts: list[DataFrame] = []
+    sums: DataFrame | None = None
     done: list[DataFrame] = []
 
-    def counted(length: int) -> DataFrame:
-        return _all([p.where(F.col("len") == length).select("len", "lang", "phrase", "n") for p in parts])
-
-    def total(length: int) -> DataFrame:
-        sums = counted(length).groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"))
-        return sums.where(F.col("n") >= threshold)
-
     scan, last = 0, shards - 1  # the last scan with anything to count
     while scan <= last:
         told = spark.sparkContext.broadcast([zlib.compress(m, 1) for m in marks])
         shard = dealt.where(F.col("shard") == scan % shards).select("lang", "text")
-        found, path = _counts(shard, scan, shards, told, slice_bytes), scratch_dir(spark, "counts")
-        found.write.partitionBy("len").parquet(path)
-        parts.append(spark.read.schema(found.schema).parquet(path))
+        found = _counts(shard, scan, shards, told, slice_bytes)
+        if sums is not None:  # what is counted on goes through the same exchange
+            found = found.unionByName(sums.where(F.col("since") + shards > scan))
+        found = found.repartition("len", "lang", "phrase")  # adding up before it spares few rows
+        sums = settle(found.groupBy("len", "lang", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since")), "counts")
         told.destroy()
-        for length in range(1, longest):
-            if scan < length * shards:
-                often = settle(total(length), "often")
-                if scan == length * shards - 1:  # later nothing of this length is counted
-                    done.append(often)
-                if _mark(often, scan, marks[length - 1]):
+        often = sums.where(F.col("n") >= threshold)
+        if scan < (longest - 1) * shards:
+            reached = settle(often.where(F.col("len") < longest), "often")
+            for length in range(1, longest):
+                if scan < length * shards and _mark(reached.where(F.col("len") == length), scan, marks[length - 1]):
                     last = scan + shards
+        ended = often if scan == last else often.where(F.col("since") + shards <= scan + 1)
+        done.append(ended.select("len", "lang", "phrase", "n"))
+        if scan == shards - 1:
+            words = settle(sums.where("len = 1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
         scan += 1
-    words = counted(1).groupBy("lang").agg(F.sum("n").alias("n"))
-    done += [total(length) for length in range(len(done) + 1, longest + 1)]
-    return settle(_all(done), "phrases"), settle(words, "words")
+    return settle(_all(done), "phrases"), words
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
