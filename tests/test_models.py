@@ -161,6 +161,15 @@ def test_best_combination_is_exhaustive(spark):
     assert (got["gain"], -got["cost"]) == best
 
 
+def test_best_combination_without_a_fitting_choice(spark):
+    """The row of nulls that SQL's max and min_by give over no rows."""
+    table = spark.createDataFrame([("a", 0, 5.0, 1.0), ("a", 1, 6.0, 2.0), ("b", 0, 4.0, 1.0)], "g string, o int, cost double, gain double")
+    for options, budget in ((table, 8.9), (table, None), (table.limit(0), 10.0)):
+        got = joins.best_combination(options, "g", "o", "cost", "gain", budget).collect()
+        assert [(r["cost"], r["gain"], r["choice"]) for r in got] == [(None, None, None)]
+    assert joins.best_combination(table, "g", "o", "cost", "gain", 9.0).first()["gain"] == 2.0
+
+
 def test_forecasts_follow_a_trend(spark):
     m = np.arange(60)
     df = spark.createDataFrame(pd.DataFrame({"k": "a", "pos": m + 1, "v": 100 + 2.0 * m}))

@@ -135,13 +135,14 @@ def split_by_ids(df: DataFrame, ids: DataFrame, on: str) -> tuple[DataFrame, Dat
 
 
 def best_combination(
-    options: DataFrame, group: str, option: str, cost: str, gain: str, budget: float
+    options: DataFrame, group: str, option: str, cost: str, gain: str, budget: float | None
 ) -> DataFrame:
     """Largest summed gain with one option per group whose summed cost fits the budget.
 
     ``options`` is a small aggregated table (groups x options). The product is never formed:
     groups are folded in one after the other and a partial choice is kept only when no other
-    one is at most as dear and at least as good.
+    one is at most as dear and at least as good. The one row holds nulls when no choice fits, without
+    any group and with a null budget.
     """
     per_group = options.groupBy(group).agg(
         F.array_sort(
@@ -172,7 +173,7 @@ def best_combination(
                 ),
             )
         )
-        return F.filter(grown, lambda a: a["cost"] <= budget)
+        return F.filter(grown, lambda a: a["cost"] <= F.lit(budget).cast("double"))
 
     def undominated(acc: Column) -> Column:
         def beaten(a, b):
@@ -182,12 +183,12 @@ def best_combination(
         return F.filter(acc, lambda a: ~F.exists(acc, lambda b: beaten(a, b)))
 
     front = F.aggregate("_groups", nothing, lambda acc, g: undominated(extend(acc, g)))
-    best = F.element_at(
+    best = F.get(
         F.array_sort(
             front,
             lambda a, b: F.when(a["gain"] > b["gain"], -1).when(a["gain"] < b["gain"], 1)
             .when(a["cost"] < b["cost"], -1).when(a["cost"] > b["cost"], 1).otherwise(0),
         ),
-        1,
+        F.lit(0),
     )
-    return one.select(best.alias("_b")).select("_b.*")
+    return one.select(F.when(F.size("_groups") > 0, best).alias("_b")).select("_b.*")
