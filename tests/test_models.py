@@ -214,3 +214,36 @@ def test_asof_with_small_cells(spark):
     got = got.toPandas().set_index("id").sort_index()
     want = pd.merge_asof(left.sort_values("at", kind="stable"), right.sort_values(["t", "tie"]), left_on="at", right_on="t").set_index("id").sort_index()
     np.testing.assert_array_equal(got["asof_v"].to_numpy(float), want["v"].to_numpy())
+
+
+def _normal(ident, seed, std):
+    def unit(i, s):
+        h = (i % 2**31 * 1103515245 + s * 7919 + 12345) % 2**31
+        h = h // 32768 + h % 32768 * 65536
+        return (h % 2**31 * 1103515245 + 12345) % 2**31 / 2.0**31
+
+    return std * np.sqrt(-2.0 * np.log(1.0 - unit(ident, seed))) * np.cos(unit(ident, seed + 1) * 2 * np.pi)
+
+
+@pytest.mark.parametrize("rows", [1 << 16, 40])
+def test_smoothed_losses_exchange_a_row_once(spark, monkeypatch, rows):
+    """All draws and losses against loops; one exchange by instance, with a heavy instance one more with partial results."""
+    monkeypatch.setattr(decisions, "HEAVY_ROWS", rows)
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"oid": np.r_[np.repeat(np.arange(12), 5), np.full(60, 99)], "ln": np.r_[np.tile(np.arange(5), 12), np.arange(60)]})
+    pdf = pdf.assign(c=rng.normal(10, 3, len(pdf)).round(2), ch=rng.normal(10, 3, len(pdf)).round(2))
+    df = spark.createDataFrame(pdf).repartition(4)
+    got = decisions.smoothed(df, ["oid"], "ln", "c", "ch", F.expr("oid * 100 + ln"), 3, 2.0, 42)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == (1 if rows > 60 else 2)
+    want = {"regret": [], "self_contrastive": [], "spo_plus": []}
+    for _, g in pdf.groupby("oid"):
+        c, best = g["c"].to_numpy(), int(np.lexsort((g["ln"], g["c"]))[0])
+        for d in range(3):
+            p = g["ch"].to_numpy() + np.array([_normal(int(i) * 3 + d, 42, 2.0) for i in g["oid"] * 100 + g["ln"]])
+            want["regret"].append(c[p.argmin()] - c.min())
+            want["self_contrastive"].append(p[best] - p.min())
+            want["spo_plus"].append((2 * p - c)[best] - (2 * p - c).min())
+    assert {r["metric"]: r["loss"] for r in got.collect()} == {k: pytest.approx(np.mean(v)) for k, v in want.items()}
+    none = decisions.smoothed(df.limit(0), ["oid"], "ln", "c", "ch", F.col("ln"), 3, 2.0, 42).collect()
+    assert [r["loss"] for r in none] == [None] * 3

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import unit_hash
 
+BUCKETS, HEAVY, HEAVY_ROWS = 4096, 4, 1 << 16  # hash buckets of instances; times the mean and rows of a heavy one
+
 
 def _at_min(value: Column, by: Column, option: str, cost: str) -> Column:
     return F.min_by(value, F.struct(by, F.col(option), F.col(cost)))
@@ -64,32 +66,52 @@ def gaussian_noise(ident: Column, seed: int, std: float) -> Column:
     return std * F.sqrt(-2.0 * F.log(u)) * F.cos(angle)
 
 
-def with_draws(
-    df: DataFrame, ident: Column, predicted: str, draws: int, std: float, seed: int
-) -> DataFrame:
-    """One copy per noise draw with the noise added to the predicted cost."""
-    d = df.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    noise = gaussian_noise(ident * draws + F.col("draw"), seed, std)
-    return d.withColumn(predicted, F.col(predicted) + noise)
+def _per_instance(df: DataFrame, by: Sequence[str], values: Sequence[Column]) -> DataFrame:
+    """``df.groupBy(*by).agg(*values)`` for values much wider than a row: rows are exchanged, not partial results.
+
+    Instances in a hash bucket of over ``HEAVY`` times the mean rows keep partial results before their exchange, so
+    an instance with a third of all rows doesn't end in one task.
+    """
+    bucket = F.pmod(F.xxhash64(*by), F.lit(BUCKETS)).cast("int")
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    bar = max(HEAVY * sum(r["n"] for r in sizes) / BUCKETS, HEAVY_ROWS)
+    heavy = [r["b"] for r in sizes if r["n"] > bar]
+    if not heavy:
+        return df.repartition(*by).groupBy(*by).agg(*values)
+    light = df.where(~bucket.isin(heavy)).repartition(*by).groupBy(*by).agg(*values)
+    return light.unionByName(df.where(bucket.isin(heavy)).groupBy(*by).agg(*values))
 
 
 def smoothed(
     df: DataFrame, by: Sequence[str], option: str, cost: str, predicted: str, ident: Column,
     draws: int, std: float, seed: int,
 ) -> DataFrame:
-    """Regret, self-contrastive and SPO+ losses averaged over noise draws."""
-    d = with_draws(df, ident, predicted, draws, std, seed)
-    by = [*by, "draw"]
-    losses = {
-        "regret": regret(d, by, option, cost, predicted).withColumnRenamed("regret", "loss"),
-        "self_contrastive": self_contrastive(d, by, option, cost, predicted),
-        "spo_plus": spo_plus(d, by, option, cost, predicted),
-    }
-    out = None
-    for name, one in losses.items():
-        row = one.select(F.lit(name).alias("metric"), "loss")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Regret, self-contrastive and SPO+ losses averaged over noise draws.
+
+    A row is exchanged once, to its instance; the draws are made there and all losses of an instance are one
+    aggregate, so nothing is repeated per draw or loss before the exchange.
+    """
+    noisy = [F.col(predicted) + gaussian_noise(ident * draws + F.lit(d), seed, std) for d in range(draws)]
+    spo = [2.0 * p - F.col(cost) for p in noisy]
+    at_best = F.min_by(F.array(*noisy, *spo), F.struct(F.col(cost), F.col(option), F.col(cost)))
+    values = [F.min(cost).alias("_best"), at_best.alias("_at_best")]
+    for d in range(draws):
+        values += [
+            _at_min(F.col(cost), noisy[d], option, cost).alias(f"_chosen{d}"),
+            F.min(noisy[d]).alias(f"_low{d}"), F.min(spo[d]).alias(f"_spo{d}"),
+        ]
+    per = _per_instance(df, by, values)
+    losses = F.array(*[
+        F.struct(
+            (F.col(f"_chosen{d}") - F.col("_best")).alias("regret"),
+            (F.col("_at_best")[d] - F.col(f"_low{d}")).alias("self_contrastive"),
+            (F.col("_at_best")[draws + d] - F.col(f"_spo{d}")).alias("spo_plus"),
+        )
+        for d in range(draws)
+    ])
+    names = ["regret", "self_contrastive", "spo_plus"]
+    one = per.select(F.explode(losses).alias("_l")).agg(*[F.avg(f"_l.{n}").alias(n) for n in names])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("loss")) for n in names])).alias("_m")).select("_m.*")
 
 
 def perfect_information_gap(df: DataFrame, scenario: str, option: str, cost: str) -> DataFrame:
