@@ -129,3 +129,36 @@ def test_metrics_use_complete_pairs(spark):
     y, p = np.array([1.0, 2.0, 3.0]), np.array([1.5, 1.0, 3.5])
     assert r["n"] == 3
     assert r["r2"] == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+
+
+def test_aucs_of_several_scores_do_not_repeat_rows(spark):
+    """Against the single form, with ties, nulls, NaN and a burst, in one bucket and in many."""
+    rng = np.random.default_rng(6)
+    n = 3000
+    pdf = pd.DataFrame({"y": rng.integers(0, 2, n), "a": rng.normal(size=n), "b": rng.integers(0, 4, n) * 1.0, "c": np.where(rng.random(n) < 0.9, 5.0, rng.normal(size=n) * 1e6)})
+    df = spark.createDataFrame(pdf).repartition(5)
+    df = df.withColumn("d", F.when(F.col("b") > 0, F.col("a"))).withColumn("e", F.when(F.col("b") == 1, F.lit(float("nan"))).otherwise(F.col("a")))
+    df = df.withColumn("y", F.when(F.abs("a") < 2.5, F.col("y")))
+    scores = {c: F.col(c) for c in "abcde"}
+    want = {c: alarms.roc_auc(df, "y", c).first() for c in scores}
+    for more in ({}, {"rows": 100, "chunk": 64, "points": 16}):
+        got = alarms.roc_aucs(df, "y", scores, **more).collect()
+        assert [r["config"] for r in got] == list(scores)
+        for r in got:
+            w = want[r["config"]]
+            assert (r["positives"], r["negatives"], r["auc"]) == (w["positives"], w["negatives"], pytest.approx(w["auc"], abs=1e-12))
+    assert alarms.roc_aucs(df.limit(0), "y", scores).count() == 0
+    assert [r["auc"] for r in alarms.roc_aucs(df.where("y = 1"), "y", scores).collect()] == [None] * 5
+
+
+def test_ablation_packs_its_scores(spark, monkeypatch):
+    """Every config goes through one pass of packed scores, none through the rows of another."""
+    from tidewright.operators import relevance
+
+    seen = []
+    monkeypatch.setattr(relevance, "roc_aucs", lambda df, label, scores: seen.append(scores) or alarms.roc_aucs(df, label, scores))
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame(rng.normal(size=(400, 3)), columns=list("abc")).assign(y=lambda d: (d["a"] > 0).astype(int))
+    got = {r["config"]: r["auc"] for r in relevance.ablation(spark.createDataFrame(pdf), list("abc"), "y").collect()}
+    assert len(seen) == 1 and set(seen[0]) == set(got) and len(got) == 7
+    assert got["only a"] == 1.0 and got["without a"] < 0.7

@@ -8,9 +8,12 @@ costs of all thresholds follow from running sums over the small grid. Thresholds
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -310,6 +313,119 @@ def roc_auc(
     ).drop(ALL)
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Label and scores of about ``rows`` rows at a time; NaN as infinity."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield _decoded(held)
+            held, n = [], 0
+    if n:
+        yield _decoded(held)
+
+
+def _decoded(held: list[pa.RecordBatch]) -> tuple[np.ndarray, list[np.ndarray]]:
+    t = pa.Table.from_batches(held)
+    scores = [np.nan_to_num(c.to_numpy(), nan=np.inf, posinf=np.inf, neginf=-np.inf) for c in t.columns[1:]]
+    return t.column(0).to_numpy(), scores
+
+
+def _thinned(points: np.ndarray, weights: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most`` of the points at even distances of their summed weights, ascending."""
+    order = np.argsort(points, kind="stable")
+    points, upto = points[order], np.cumsum(weights[order])
+    k = min(most, len(points))
+    at = np.searchsorted(upto, (np.arange(k) + 0.5) * upto[-1] / k) if k else np.empty(0, int)
+    return points[at], np.full(k, upto[-1] / k if k else 0.0)
+
+
+def _counted(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted scores and their counts from packed parts; a part without counts has one row per score."""
+    v = [np.frombuffer(x) for x, _ in parts]
+    if not any(len(c) for _, c in parts):
+        v = np.sort(np.concatenate([*v, np.empty(0)]))
+        return v, np.ones(len(v), np.int64)
+    n = np.concatenate([np.frombuffer(c, np.int64) if len(c) else np.ones(len(x), np.int64) for x, (_, c) in zip(v, parts)])
+    v = np.concatenate(v)
+    order = np.argsort(v, kind="stable")
+    return v[order], n[order]
+
+
+def roc_aucs(
+    df: DataFrame, label: str, scores: dict[str, Column], rows: int = 1 << 21, chunk: int = 1 << 18, points: int = 256
+) -> DataFrame:
+    """``roc_auc`` of several scores of the same rows; their names are in ``config``.
+
+    Rows are not repeated per score. Quantiles of every task's rows cut each score's range into buckets of about ``rows``
+    rows; equal scores share a bucket. Tasks sort and pack scores per class and bucket, a bucket counts its
+    own pairs, and pairs across buckets follow from the rows per bucket. A null score ranks below all others, a null label
+    is negative; an empty table has no result.
+    """
+    names = list(scores)
+    table = df.select(
+        F.coalesce(F.col(label) != 0, F.lit(False)).alias("y"),
+        *[F.coalesce(c.cast("double"), F.lit(float("-inf"))).alias(f"s{i}") for i, c in enumerate(scores.values())],
+    )
+
+    def quantiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.empty(0), np.empty(0)) for _ in names]
+        for _, columns in _chunks(batches, chunk):
+            for i, s in enumerate(columns):
+                p, w = _thinned(np.sort(s), np.ones(len(s)), points)
+                held[i] = _thinned(np.r_[held[i][0], p], np.r_[held[i][1], w], 4 * points)
+        arrays = [pa.array(range(len(names)), pa.int32()), *(pa.array([x.tobytes() for x in side], pa.binary()) for side in zip(*held))]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "p", "w"])
+
+    found = table.mapInArrow(quantiles, "i int, p binary, w binary").toPandas()
+    edges = []
+    for i in range(len(names)):
+        own = found[found["i"] == i]
+        p, w = (np.concatenate([np.frombuffer(x) for x in own[c]] or [np.empty(0)]) for c in ("p", "w"))
+        p, w = _thinned(p, w, max(1, math.ceil(w.sum() / rows)) * 2)
+        edges.append(np.unique(p[1::2]))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for y, columns in _chunks(batches, chunk):
+            for i, s in enumerate(columns):
+                out = []
+                for side in (False, True):
+                    v = np.sort(s[y == side])
+                    cut = np.r_[0, np.searchsorted(v, edges[i]), len(v)]
+                    for b in np.flatnonzero(cut[1:] > cut[:-1]):
+                        x, n = v[cut[b] : cut[b + 1]], b""
+                        first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+                        if len(first) * 2 < len(x):
+                            x, n = x[first], np.diff(np.r_[first, len(x)]).tobytes()
+                        out.append((i, int(b), side, x.tobytes(), n))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["i", "b", "y", "v", "n"])
+
+    kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+
+    def pairs(t: pa.Table) -> pa.Table:
+        sides = ([], [])
+        for y, v, n in zip(*(t.column(c).to_pylist() for c in ("y", "v", "n"))):
+            sides[y].append((v, n))
+        (neg, negs), (pos, own) = map(_counted, sides)
+        below = np.r_[0, np.cumsum(negs)]
+        twice = int((own * (below[np.searchsorted(neg, pos)] + below[np.searchsorted(neg, pos, side="right")])).sum())
+        row = {"i": t.column("i")[0].as_py(), "b": t.column("b")[0].as_py(), "pos": int(own.sum()), "neg": int(negs.sum()), "twice": twice}
+        return pa.Table.from_pylist([row], pa.schema([("i", pa.int32()), ("b", pa.int32()), *((c, pa.int64()) for c in ("pos", "neg", "twice"))]))
+
+    packed = table.mapInArrow(dealt, "i int, b int, y boolean, v binary, n binary").groupBy("i", "b")
+    per = packed.applyInArrow(pairs, "i int, b int, pos bigint, neg bigint, twice bigint").collect()
+    done = []
+    for i, name in enumerate(names):
+        wins = positives = negatives = 0
+        for r in sorted((r for r in per if r["i"] == i), key=lambda r: r["b"]):
+            wins += r["twice"] + 2 * r["pos"] * negatives
+            positives, negatives = positives + r["pos"], negatives + r["neg"]
+        if positives + negatives:
+            done.append((name, positives, negatives, wins / 2 / (positives * negatives) if positives and negatives else None))
+    return df.sparkSession.createDataFrame(done, "config string, positives bigint, negatives bigint, auc double")
+
+
 def prediction_spread(df: DataFrame, actual: Column, pred: str) -> DataFrame:
     """Box statistics of the predictions per actual value."""
     from .quantiles import exact_quantiles

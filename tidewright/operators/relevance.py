@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31, idiv, scalar_row
-from .alarms import roc_auc
+from .alarms import roc_aucs
 from .gram import cross_products
 from .ordered import positions
 from .quantiles import melt
@@ -286,7 +286,7 @@ def union_selected(lists: Sequence[DataFrame], fallback: Sequence[str], spark) -
 
 def ablation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """AUC of a linear score with all features, without one, and with only one, from one Gram
-    matrix and one pass of scores."""
+    matrix and two passes of scores (``roc_aucs``)."""
     z = zscored(df, columns)
     x, xy, _, _ = gram(z, columns, target)
     every = list(range(1, len(columns) + 1))
@@ -294,13 +294,12 @@ def ablation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     for i, c in zip(every, columns):
         configs[f"without {c}"] = [j for j in every if j != i]
         configs[f"only {c}"] = [i]
-    scores = []
+    scores = {}
     for name, keep in configs.items():
         b = solve(x, xy, keep)
         weights = {columns[j - 1]: float(v) for j, v in zip(keep, b[1:])}
-        scores.append(F.struct(F.lit(name).alias("config"), linear_score(float(b[0]), weights).alias("score")))
-    long = z.select(target, F.explode(F.array(*scores)).alias("_s")).select(target, "_s.*")
-    return roc_auc(long, target, "score", ["config"])
+        scores[name] = linear_score(float(b[0]), weights)
+    return roc_aucs(z, target, scores)
 
 
 def shapley_sampled(

@@ -15,11 +15,12 @@ PREDICTORS = ["qty", "disc", "tax", "psize", "retail", "total"]
 WEIGHTS = {"qty": 2.1, "disc": -15.0, "tax": 4.0, "psize": 0.02, "retail": 0.05, "total": 0.0001}
 
 
-def feat(t):
-    """FEAT with an id from all columns: rows of equal id are equal, so ties do no harm."""
+def feat(t, *names):
+    """FEAT with an id from all columns: rows of equal id are equal, so ties do no harm. Only the columns
+    ``names`` are written, if given."""
     f = t.feat()
     f = f.withColumn("id", F.xxhash64(*f.columns)).withColumn("kprice", F.col("price") / 1000.0)
-    return settle(f, "feat")
+    return settle(f.select(*names) if names else f, "feat")
 
 
 def halves(f, seed=51):
@@ -122,7 +123,7 @@ def fs_subset_search(t):
 
 @query("fs_ablation")
 def fs_ablation(t):
-    return out(relevance.ablation(feat(t), FEATURES, "y"), 5)
+    return out(relevance.ablation(feat(t, *FEATURES, "y"), FEATURES, "y"), 5)
 
 
 def regression_rows(df, target="kprice", pred="pred", digits=4):
