@@ -247,3 +247,38 @@ def test_smoothed_losses_exchange_a_row_once(spark, monkeypatch, rows):
     assert {r["metric"]: r["loss"] for r in got.collect()} == {k: pytest.approx(np.mean(v)) for k, v in want.items()}
     none = decisions.smoothed(df.limit(0), ["oid"], "ln", "c", "ch", F.col("ln"), 3, 2.0, 42).collect()
     assert [r["loss"] for r in none] == [None] * 3
+
+
+def test_grid_search_equals_cross_validation(spark, planted):
+    """Fits from moments against MLlib's own cross-validation; a constant column and a null in a column among them."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from tidewright.functions.exprs import hash31
+
+    df = planted.withColumn("d", F.lit(3.0)).withColumn("c", F.when(F.col("id") % 7 > 0, F.col("c") + 1000.0))
+    model = LinearRegression(featuresCol="_x", labelCol="y", maxIter=30)
+    grid = ParamGridBuilder().addGrid(model.regParam, [0.01, 1.0]).addGrid(model.elasticNetParam, [0.0, 0.5, 1.0]).build()
+    folded = models.vectorise(df, COLS).withColumn("_fold", F.pmod(hash31(F.xxhash64(*COLS, "y"), 7), F.lit(3)).cast("int"))
+    cv = CrossValidator(estimator=model, estimatorParamMaps=grid, numFolds=3, foldCol="_fold", evaluator=RegressionEvaluator(labelCol="y", metricName="mae")).fit(folded)
+    want = {(p[model.regParam], p[model.elasticNetParam]): (m, s) for p, m, s in zip(grid, cv.avgMetrics, cv.stdMetrics)}
+    got = models.grid_search(df, COLS, "y", [0.01, 1.0], [0.0, 0.5, 1.0], 3, 7).collect()
+    assert len(got) == 6 and [r["mae"] for r in got] == sorted(r["mae"] for r in got)
+    for r in got:
+        assert (r["mae"], r["mae_std"]) == pytest.approx(want[r["reg"], r["net"]], abs=1e-7)
+    with pytest.raises(ValueError, match="null"):
+        models.grid_search(df.withColumn("y", F.when(F.col("id") > 5, F.col("y"))), COLS, "y", [0.1], [0.0], 3, 7)
+
+
+def test_grid_search_passes_over_the_rows_three_times(spark, planted, tmp_path):
+    """No pass per fold and parameter pair."""
+    from pyspark.ml.regression import LinearRegression
+
+    sizes, fit = [], LinearRegression.fit
+    LinearRegression.fit = lambda self, df, params=None: sizes.append(df.count()) or fit(self, df, params)
+    try:
+        models.grid_search(planted, COLS, "y", [0.01, 1.0], [0.0, 1.0], 3, 7).collect()
+    finally:
+        LinearRegression.fit = fit
+    assert sizes == [10] * 12

@@ -9,16 +9,16 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,21 +128,61 @@ def gauss_heteroscedastic(train: DataFrame, rows: DataFrame, columns: Sequence[s
 def grid_search(
     df: DataFrame, columns: Sequence[str], target: str, regs: Sequence[float], nets: Sequence[float], folds: int, seed: int
 ) -> DataFrame:
-    """Cross-validated mean and std of the absolute error per parameter pair, best first."""
+    """Cross-validated mean and std of the absolute error per parameter pair, best first.
+
+    MLlib solves these fits from means and products alone, so one pass sums them per fold, and every (fold, pair) is
+    fitted on a few rows that have the same moments as its training rows. One more pass adds up all errors.
+    """
+    names = [*columns, target]
+    fold = F.pmod(hash31(F.xxhash64(*names), seed), F.lit(folds)).cast("int")
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    rows = df.where(known).select(fold.alias("_fold"), *[F.col(c).cast("double").alias(c) for c in names])
+    y, p = F.col(target), len(names)
+    seen = rows.agg(F.count(F.when(y.isNull() | F.isnan(y), 1)), *[F.avg(c) for c in names]).first()
+    if seen[0]:
+        raise ValueError(f"{target} has null or NaN values")
+    centre = np.array([m or 0.0 for m in seen[1:]])
+    x = [F.col(c) - F.lit(float(m)) for c, m in zip(names, centre)]
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    sums = rows.groupBy("_fold").agg(F.count(F.lit(1)), *map(F.sum, x), *[F.sum(x[i] * x[j]) for i, j in pairs]).collect()
+    moments = {r[0]: np.array(r[1:], dtype=float) for r in sums}
+
+    def like_training(f: int) -> DataFrame:
+        total = sum((m for k, m in moments.items() if k != f), np.zeros(1 + p + len(pairs)))
+        if not total[0]:
+            raise ValueError("a fold has no training rows")
+        mean, square = total[1 : p + 1] / total[0], np.zeros((p, p))
+        for (i, j), v in zip(pairs, total[p + 1 :] / total[0]):
+            square[i, j] = square[j, i] = v
+        cov = square - np.outer(mean, mean)
+        std = np.sqrt(np.maximum(np.diag(cov), 0.0))
+        std[std <= 1e-13 * (np.abs(centre) + np.abs(mean))] = 0.0
+        safe = np.where(std > 0, std, 1.0)
+        value, vector = np.linalg.eigh(np.where(np.outer(std, std) > 0, cov / np.outer(safe, safe), 0.0))
+        axes = (vector * np.sqrt(np.maximum(value, 0.0) * p)).T * std
+        made = np.concatenate([axes, -axes]) + centre + mean
+        return df.sparkSession.createDataFrame([(Vectors.dense(r[:-1]), float(r[-1])) for r in made], ["_x", target])
+
     model = LinearRegression(featuresCol="_x", labelCol=target, maxIter=30)
     grid = ParamGridBuilder().addGrid(model.regParam, list(regs)).addGrid(model.elasticNetParam, list(nets)).build()
-    folded = vectorise(df, columns).withColumn(
-        "_fold", F.pmod(hash31(F.xxhash64(*columns, target), seed), F.lit(folds)).cast("int")
+    errors = [F.lit(None).cast("double")] * len(grid)
+    for f in range(folds):
+        training = like_training(f).coalesce(1).cache()
+        for g, params in enumerate(grid):
+            fit = model.fit(training, params)
+            pred = sum((F.lit(float(w)) * F.col(c) for c, w in zip(columns, fit.coefficients)), F.lit(float(fit.intercept)))
+            errors[g] = F.when(F.col("_fold") == f, F.abs(y - pred)).otherwise(errors[g])
+        training.unpersist()
+    found = rows.groupBy("_fold").agg(*[F.avg(e) for e in errors]).collect()
+    mae = np.full((folds, len(grid)), np.nan)
+    for r in found:
+        mae[r[0]] = r[1:]
+    table = df.sparkSession.createDataFrame(
+        [(float(q[model.regParam]), float(q[model.elasticNetParam]), float(m), float(s)) for q, m, s in zip(grid, mae.mean(axis=0), mae.std(axis=0))],
+        "reg double, net double, mae double, mae_std double",
     )
-    cv = CrossValidator(
-        estimator=model, estimatorParamMaps=grid, numFolds=folds, parallelism=4, foldCol="_fold",
-        evaluator=RegressionEvaluator(labelCol=target, metricName="mae"),
-    ).fit(folded)
-    rows = [
-        (float(p[model.regParam]), float(p[model.elasticNetParam]), float(m), float(s))
-        for p, m, s in zip(grid, cv.avgMetrics, cv.stdMetrics)
-    ]
-    table = df.sparkSession.createDataFrame(rows, "reg double, net double, mae double, mae_std double")
     return table.orderBy("mae", "reg", "net")
 
 

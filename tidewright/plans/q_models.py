@@ -214,7 +214,7 @@ def ml_gauss_hetero(t):
 
 @query("ml_cv_grid")
 def ml_cv_grid(t):
-    return out(models.grid_search(feat(t), PREDICTORS, "kprice", [0.01, 1.0], [0.0, 1.0], 3, 7))
+    return out(models.grid_search(feat(t, *PREDICTORS, "kprice"), PREDICTORS, "kprice", [0.01, 1.0], [0.0, 1.0], 3, 7))
 
 
 @query("ml_residual_hybrid")
