@@ -1,9 +1,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidewright.operators import density
+from tidewright.functions.exprs import hash31
+from tidewright.operators import anomaly, density
 
 
 def direct(train, w, x, h):
@@ -73,3 +75,36 @@ def test_mixture_scores_every_row(spark):
         e = -0.5 * np.einsum("ni,ij,nj->n", z, np.linalg.inv(cov), z) - np.log(2 * np.pi) - 0.5 * np.log(np.linalg.det(cov))
         total = total + w * np.exp(e)
     np.testing.assert_allclose(got["log_density"].head(200), np.log(total), rtol=1e-5)
+
+
+def test_mixtures_equal_mllib(spark, monkeypatch):
+    """All fits of a selection in the same passes over packed rows, each as MLlib's own."""
+    from pyspark.ml.clustering import GaussianMixture
+
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal([0, 1e4, 5], [1, 3e3, 0.1], (700, 3)), rng.normal([4, 2e4, 6], [2, 1e3, 0.5], (300, 3))]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")).assign(id=np.arange(len(x)))).repartition(3).cache()
+    v = anomaly.assemble(df, list("abc")).cache()
+    own = GaussianMixture(featuresCol="x", k=3, seed=5, maxIter=30).fit(v)
+    iterations, fit = [], GaussianMixture.fit
+    monkeypatch.setattr(GaussianMixture, "fit", lambda self, d, params=None: iterations.append(self.getMaxIter()) or fit(self, d, params))
+    got = anomaly.fit_mixture(v, "x", 3, seed=5)
+    assert iterations == [0]
+    np.testing.assert_allclose(got.weights, own.weights, rtol=1e-7)
+    for g, w in zip(got.gaussians, own.gaussians):
+        np.testing.assert_allclose(g.mean.toArray(), w.mean.toArray(), rtol=1e-7)
+        np.testing.assert_allclose(g.cov.toArray(), w.cov.toArray(), rtol=1e-5, atol=1e-7)
+    a = anomaly.score_mixture(df, list("abc"), got).orderBy("id").toPandas()
+    b = anomaly.mixture_density(v, "x", own, 3).orderBy("id").toPandas()
+    assert list(a["component"]) == list(b["component"])
+    for c in ("log_density", "top_posterior"):
+        np.testing.assert_allclose(a[c], b[c], rtol=1e-7)
+    few = anomaly.select_components(v, "x", [2, 3], 3, "id", 2, 7).collect()
+    folded = v.withColumn("_fold", F.pmod(hash31("id", 7), F.lit(2)))
+    for r in few:
+        means = []
+        for f in range(2):
+            m = fit(GaussianMixture(featuresCol="x", k=r["k"], seed=7, maxIter=30), folded.where(F.col("_fold") != f))
+            held = folded.where(F.col("_fold") == f).select(vector_to_array("x").alias("x"))
+            means.append(held.agg(F.avg(anomaly.log_density(F.col("x"), m, 3))).first()[0])
+        assert r["mean_log_density"] == pytest.approx(np.mean(means), abs=1e-7)

@@ -3,27 +3,123 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash31, scalar_row
+from ..session import settle
 from .quantiles import exact_quantiles, melt
 from .scale import standardise
 
 
+EPSILON = float(np.finfo(float).eps)  # MLlib's floor of a density
+
+
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "x") -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="skip").transform(df)
 
 
 def fit_mixture(df: DataFrame, features: str, k: int, seed: int, iterations: int = 30) -> GaussianMixtureModel:
-    return GaussianMixture(featuresCol=features, k=k, seed=seed, maxIter=iterations).fit(df)
+    rows = settle(_coordinates(df, features), "mixture")
+    return _maximised(rows, [(_begun(df, features, k, seed), None)], iterations)[0]
+
+
+def _coordinates(df: DataFrame, features: str, *others: str) -> DataFrame:
+    """The coordinates of a vector column as columns ``x0`` ... , next to ``others``."""
+    first = df.select(features).first()
+    x = df.select(vector_to_array(features).alias("_x"), *others)
+    return x.select(*[F.col("_x")[i].alias(f"x{i}") for i in range(len(first[0]) if first else 0)], *others)
+
+
+def _begun(df: DataFrame, features: str, k: int, seed: int) -> GaussianMixtureModel:
+    """MLlib's seeded random start."""
+    return GaussianMixture(featuresCol=features, k=k, seed=seed, maxIter=0).fit(df)
+
+
+def _rebuilt(like: GaussianMixtureModel, weights: np.ndarray, means: np.ndarray, covs: np.ndarray) -> GaussianMixtureModel:
+    sc = SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml
+    gaussian = ml.stat.distribution.MultivariateGaussian
+    shares, parts = sc._gateway.new_array(sc._jvm.double, len(weights)), sc._gateway.new_array(gaussian, len(weights))
+    for i, (w, m, c) in enumerate(zip(weights, means, covs)):
+        shares[i] = float(w)
+        parts[i] = gaussian(_py2java(sc, Vectors.dense(m)), _py2java(sc, Matrices.dense(len(m), len(m), c.ravel(order="F"))))
+    model = GaussianMixtureModel(ml.clustering.GaussianMixtureModel(like.uid, shares, parts))
+    return model.setFeaturesCol(like.getFeaturesCol())
+
+
+def _exponent(weight: float, mean: np.ndarray, cov: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Logarithm of weight * density as coefficients of 1, z and z z' (upper half), z = (x - centre) / scale. As
+    MLlib does, eigenvalues that vanish against the largest one are left out."""
+    d, u = np.linalg.eigh(cov)
+    kept = d > EPSILON * d.max() * len(d)
+    a = (u[:, kept] / d[kept]) @ u[:, kept].T * np.outer(scale, scale)
+    m = (mean - centre) / scale
+    square = -(a - np.diag(np.diag(a)) / 2)
+    const = math.log(weight) if weight > 0 else -np.inf
+    const -= 0.5 * (len(d) * math.log(2 * math.pi) + np.log(d[kept]).sum() + m @ a @ m)
+    return np.r_[const, a @ m, square[np.triu_indices(len(d))]]
+
+
+def _maximised(
+    rows: DataFrame, begun: Sequence[tuple[GaussianMixtureModel, int | None]], iterations: int, tolerance: float = 0.01
+) -> list[GaussianMixtureModel]:
+    """MLlib's expectation maximisation (its density floor, its stop) from the ``begun`` models on all ``rows``
+    (``x0`` ...), each without the rows of its ``_fold`` if one is given.
+
+    A pass serves all models that still move: a batch is one matrix of 1, z and z z', the exponents and
+    the weighted sums of all components are its products. Partitions emit their sums.
+    """
+    names = [c for c in rows.columns if c != "_fold"]
+    d = len(names)
+    one = rows.agg(*[f(c) for f in (F.avg, F.stddev_pop) for c in names]).first()
+    centre = np.array([v or 0.0 for v in one[:d]])
+    scale = np.array([v or 1.0 for v in one[d:]])
+    up = np.triu_indices(d)
+    state = [(np.array(m.weights), np.array([g.mean.toArray() for g in m.gaussians]), np.array([g.cov.toArray() for g in m.gaussians])) for m, _ in begun]
+    likely, before = [-float(np.finfo(float).max)] * len(begun), [0.0] * len(begun)
+
+    for _ in range(iterations):
+        moving = [i for i in range(len(begun)) if abs(likely[i] - before[i]) > tolerance]
+        if not moving:
+            break
+        told = [(i, begun[i][1], np.array([_exponent(*g, centre, scale) for g in zip(*state[i])])) for i in moving]
+
+        def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {i: np.zeros(1 + t.size) for i, _, t in told}
+            for b in batches:
+                z = (np.stack([b.column(c).to_numpy() for c in range(d)]) - centre[:, None]) / scale[:, None]
+                whole = np.concatenate([np.ones((1, z.shape[1])), z, z[up[0]] * z[up[1]]])
+                fold = b.column(d).to_numpy() if b.num_columns > d else None
+                for i, out, t in told:
+                    m = whole if out is None else np.ascontiguousarray(whole[:, fold != out])
+                    p = EPSILON + np.exp(t @ m)
+                    total = p.sum(axis=0)
+                    sums[i] += np.r_[np.log(total).sum(), ((p / total) @ m.T).ravel()]
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["i", "s"])
+
+        got = rows.mapInArrow(expected, "i int, s binary").toPandas()
+        for i, _, t in told:
+            s = sum(np.frombuffer(v) for v in got["s"][got["i"] == i])
+            before[i], likely[i] = likely[i], float(s[0])
+            s = s[1:].reshape(t.shape)
+            w, z = s[:, 0], s[:, 1 : d + 1] / s[:, :1]
+            square = np.zeros((len(w), d, d))
+            square[:, up[0], up[1]] = square[:, up[1], up[0]] = s[:, d + 1 :] / s[:, :1]
+            covs = (square - z[:, :, None] * z[:, None, :]) * np.outer(scale, scale)
+            state[i] = (w / w.sum(), centre + scale * z, covs)
+    return [_rebuilt(m, *s) for (m, _), s in zip(begun, state)]
 
 
 def log_density(x: Column, model: GaussianMixtureModel, dims: int) -> Column:
@@ -50,14 +146,36 @@ def log_density(x: Column, model: GaussianMixtureModel, dims: int) -> Column:
 
 
 def score_mixture(rows: DataFrame, columns: Sequence[str], model: GaussianMixtureModel) -> DataFrame:
-    """``mixture_density`` of all ``rows``; rows that lack a feature stay, with null outputs."""
-    kept = VectorAssembler(inputCols=list(columns), outputCol="_features", handleInvalid="keep").transform(rows)
+    """``mixture_density`` of all ``rows`` in Arrow batches; rows that lack a feature stay, with null outputs."""
+    d = len(columns)
+    parts = []
+    for w, g in zip(model.weights, model.gaussians):
+        cov = g.cov.toArray()
+        value, vector = np.linalg.eigh(cov)
+        kept = value > EPSILON * value.max() * d
+        low = np.linalg.cholesky(cov + 1e-9 * np.eye(d))
+        const = math.log(max(w, 1e-300)) - 0.5 * d * math.log(2 * math.pi) - float(np.log(np.diag(low)).sum())
+        height = -0.5 * (d * math.log(2 * math.pi) + float(np.log(value[kept]).sum()))
+        parts.append((w, g.mean.toArray()[:, None], np.linalg.inv(low), const, (vector[:, kept] / np.sqrt(value[kept])).T, height))
+
+    @F.pandas_udf("log_density double, component int, top_posterior double")
+    def score(part: pd.DataFrame) -> pd.DataFrame:
+        x = part.to_numpy(dtype=float).T
+        logs, shares = np.empty((len(parts), x.shape[1])), np.empty((len(parts), x.shape[1]))
+        for i, (w, mean, inv, const, root, height) in enumerate(parts):
+            z = x - mean
+            logs[i] = const - 0.5 * ((inv @ z) ** 2).sum(axis=0)
+            shares[i] = EPSILON + w * np.exp(height - 0.5 * ((root @ z) ** 2).sum(axis=0))
+        top = logs.max(axis=0)
+        done = {"log_density": top + np.log(np.exp(logs - top).sum(axis=0)), "component": shares.argmax(axis=0).astype(np.int32)}
+        return pd.DataFrame(done | {"top_posterior": shares.max(axis=0) / shares.sum(axis=0)})
+
     whole = F.lit(True)
     for c in columns:
         whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    done = mixture_density(kept.withColumn("_whole", whole), "_features", model, len(columns))
+    done = rows.withColumn("_s", score(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])))
     outputs = ["log_density", "component", "top_posterior"]
-    return done.withColumns({c: F.when(F.col("_whole"), F.col(c)) for c in outputs}).drop("_features", "_whole")
+    return done.withColumns({c: F.when(whole, F.col(f"_s.{c}")) for c in outputs}).drop("_s")
 
 
 def mixture_density(df: DataFrame, features: str, model: GaussianMixtureModel, dims: int) -> DataFrame:
@@ -72,18 +190,17 @@ def mixture_density(df: DataFrame, features: str, model: GaussianMixtureModel, d
 def select_components(
     df: DataFrame, features: str, ks: Sequence[int], dims: int, ident: str, folds: int, seed: int
 ) -> DataFrame:
-    """Mean held-out log density per number of components. One fit per (k, fold); every
-    held-out score is one aggregate and the table has one row per k."""
-    folded = df.withColumn("_fold", F.pmod(hash31(ident, seed), F.lit(folds)))
-    rows = []
-    for k in ks:
-        scores = []
-        for f in range(folds):
-            model = fit_mixture(folded.where(F.col("_fold") != f), features, k, seed)
-            held = folded.where(F.col("_fold") == f).withColumn("_x", vector_to_array(features))
-            scores.append(held.agg(F.avg(log_density(F.col("_x"), model, dims))).first()[0])
-        rows.append((int(k), float(np.mean(scores))))
-    return df.sparkSession.createDataFrame(rows, "k bigint, mean_log_density double")
+    """Mean held-out log density per number of components. One fit per (k, fold), all of them in the same passes;
+    every held-out score is one aggregate and the table has one row per k."""
+    folded = df.withColumn("_fold", F.pmod(hash31(ident, seed), F.lit(folds)).cast("int"))
+    rows = settle(_coordinates(folded.where(F.col("_fold").isNotNull()), features, "_fold"), "mixture")
+    begun = [(_begun(folded.where(F.col("_fold") != f), features, k, seed), f) for k in ks for f in range(folds)]
+    x = F.array(*[c for c in rows.columns if c != "_fold"])
+    fitted = _maximised(rows, begun, 30)
+    held = [F.avg(F.when(F.col("_fold") == f, log_density(x, m, dims))) for m, (_, f) in zip(fitted, begun)]
+    scores = np.array(rows.agg(*held).first(), dtype=float).reshape(len(ks), folds)
+    means = [(int(k), float(np.mean(s))) for k, s in zip(ks, scores)]
+    return df.sparkSession.createDataFrame(means, "k bigint, mean_log_density double")
 
 
 def _standard_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
