@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import hash31, idiv
 from ..operators import decisions, splits, survival
 from ..operators.windows import ewm_mean
+from ..session import released, settle
 from .bindings import FEATURES, SENSORS, h31, rnd
 from .q_sources import out
 from .registry import query
@@ -42,6 +43,8 @@ def surv_hazard_model(t):
     })
     m = m.withColumn("weight", F.when(F.col("label") == 1, 20.0).otherwise(1.0))
     columns = ["age", "qty", "kprice", "disc", "tax"]
+    with released(t.spark):
+        m = settle(m.select("machine", "cycle", *columns, "label", "weight"), "mach")
     intercept, weights = survival.hazard_model(m, columns, "label", "weight")
     return out(m.select("machine", "cycle", survival.logistic(intercept, weights).alias("hazard")))
 

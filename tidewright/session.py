@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +53,37 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside remove their shuffle files when they end (Spark 4.1 on; others keep them until the
+    driver collects garbage). For results that are written: nothing reads those files again."""
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_RELEASE) if before is None else spark.conf.set(_RELEASE, before)
+
+
 def settle(df: DataFrame, tag: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back: its lineage ends
     there, later uses do not compute it again, and it survives lost executors."""
     path = scratch_dir(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled(df: DataFrame, tag: str) -> Iterator[DataFrame]:
+    """``settle`` for a step of a loop: the shuffle files go when it is written, the written rows at the end of the block."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, tag)
+    with released(spark):
+        df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
