@@ -44,15 +44,14 @@ def test_settled_rows_go_with_their_block(spark, rows):
 
 
 def test_a_repeat_goes_before_the_next(spark, rows, monkeypatch):
-    """Rows of every repeat and round are written, or summed, and released."""
-    for run in (
-        lambda: relevance.permutation_importance(rows, "id", ["a", "b"], "y", 0.0, {"a": 1.0, "b": 2.0}, 3, 5),
-        lambda: relevance.boruta(rows, "id", ["a", "b"], "y", 2, 3, 3, 1),
-    ):
-        seen = []
-        monkeypatch.setattr(relevance, "settled", lambda df, tag: seen.append(tag) or settled(df, tag))
-        assert run().count() == 2
-        assert seen in (["rise"] * 3, ["shadows"] * 2)
+    """Every repeat is a job that is released; after a round of forests the cleaner has its shuffles."""
+    seen = []
+    monkeypatch.setattr(relevance, "settled", lambda df, tag: seen.append(tag) or settled(df, tag))
+    assert relevance.permutation_importance(rows, "id", ["a", "b"], "y", 0.0, {"a": 1.0, "b": 2.0}, 3, 5).count() == 2
+    assert seen == ["rise"] * 3
+    before = shuffle_files(spark)
+    relevance.boruta(rows, "id", ["a", "b"], "y", 2, 3, 3, 1)
+    assert not left_over(spark, before)
 
 
 def test_hazards_read_written_rows(spark, sf):
